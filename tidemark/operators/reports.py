@@ -49,7 +49,7 @@ def summary(log: DataFrame, run_id: str | None = None) -> DataFrame:
         _would().alias("would_archive"),
         # on an append or skip the difference is mostly rows already archived
         (_eligible() - _would() - held).alias("protected_by_conditions"),
-        held.alias("already_archived_or_protected"),
+        held.alias("archived_or_protected"),
         F.coalesce("null_date_count", F.lit(0)).alias("null_date_count"),
         "created_at",
     )

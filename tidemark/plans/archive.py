@@ -1,20 +1,22 @@
-"""Archive and delete jobs: plan every year of a table at once, then act on all of them.
+"""Archive and delete jobs: plan every year of every table at once, then act on all of them.
 
-Per table: one profile scan, one write job for all years, one read-back of what was
-written, then publication. Spark never runs per year. What reaches the driver is one row
-per calendar year of one table.
+Per run: one query for the state of all slices, one append for each batch of audit rows and
+slice versions. Per table: one profile scan, one write job for all years, one read-back of
+what was written. Nothing runs per year. What reaches the driver is one row per slice.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from ..functions import evolution, rules as R, watermarks as W
 from ..operators import audit_state, decisions, profile
@@ -42,6 +44,47 @@ def _log_of(log: DataFrame, source: Source) -> DataFrame:
     return log.where(F.col("table_name") == source.table_id)
 
 
+def known_slices(store: SliceStore, log: DataFrame, run_id: str, table_ids: list[str]) -> DataFrame:
+    """Slice state joined with audit state: one row per slice either of them knows."""
+    states = store.states().where(F.col("table_id").isin(table_ids))
+    log = log.where(F.col("table_name").isin(table_ids))
+    keys = ["table_id", "year"]
+    audited = audit_state.slice_summary(log).withColumnRenamed("table_name", "table_id")
+    owned = audit_state.owned_slices(log, run_id).select(
+        F.col("table_name").alias("table_id"), "year", F.lit(True).alias("owned")
+    )
+    return (
+        states.join(audited, keys, "full_outer")
+        .join(owned, keys, "left")
+        .where("year IS NOT NULL")
+        .withColumn("high_water", F.coalesce("last_watermark", "wm_hi"))
+        .withColumnRenamed("year", "slice_year")
+        .drop("last_watermark", "archived_at")
+    )
+
+
+_STATE_DDL = (
+    "slice_year INT, slice_state STRING, last_status STRING, high_water TIMESTAMP_NTZ, "
+    "owned BOOLEAN, wiped_since BOOLEAN, verify_failed BOOLEAN"
+)
+
+
+def _plan(source: Source, store: SliceStore, known: list[Row], as_of: dt.date, live: bool) -> DataFrame:
+    """One row per eligible year: counts, state and the action; reads the source once.
+
+    ``known`` has at most one row per calendar year of this table, hence the broadcast.
+    """
+    names = ddl(_STATE_DDL).names
+    state = local_frame(store.spark, [tuple(k[n] for n in names) for k in known], _STATE_DDL)
+    counts = profile.year_profile(source, as_of, marks=state).where("slice_year IS NOT NULL")
+    joined = (
+        counts.join(F.broadcast(state), "slice_year", "left")
+        .withColumn("slice_state", F.coalesce("slice_state", F.lit(MISSING)))
+        .withColumn("delete_after", F.lit(source.delete_after))
+    )
+    return decisions.resolve(joined, live)
+
+
 def plan(
     source: Source,
     store: SliceStore,
@@ -50,33 +93,9 @@ def plan(
     as_of: dt.date,
     live: bool = False,
 ) -> DataFrame:
-    """One row per eligible year: counts, state and the action; reads the source once.
-
-    Audit state and slice state come to one row per calendar year of this table. They are
-    fetched once and joined to the profile by broadcast, as a local table.
-    """
-    log = _log_of(log, source)
-    disk = store.states().where(F.col("table_id") == source.table_id).select(
-        F.col("year").alias("slice_year"), "slice_state", "row_count", "version", "wm_hi"
-    )
-    audited = audit_state.slice_summary(log).drop("table_name").withColumnRenamed("year", "slice_year")
-    owned = audit_state.owned_slices(log, run_id).select(
-        F.col("year").alias("slice_year"), F.lit(True).alias("owned")
-    )
-    known = (
-        disk.join(audited, "slice_year", "full_outer")
-        .join(owned, "slice_year", "left")
-        .withColumn("high_water", F.coalesce("last_watermark", "wm_hi"))
-        .drop("last_watermark", "wm_hi", "archived_at")
-    )
-    known = local_frame(store.spark, known.collect(), known.schema)
-    counts = profile.year_profile(source, as_of, marks=known).where("slice_year IS NOT NULL")
-    state = (
-        counts.join(F.broadcast(known), "slice_year", "left")
-        .withColumn("slice_state", F.coalesce("slice_state", F.lit(MISSING)))
-        .withColumn("delete_after", F.lit(source.delete_after))
-    )
-    return decisions.resolve(state, live)
+    """What the next run would do with each eligible year of one table."""
+    known = known_slices(store, log, run_id, [source.table_id]).collect()
+    return _plan(source, store, known, as_of, live)
 
 
 def dry_run(
@@ -157,8 +176,30 @@ def archivable(
     return R.drop_flags(source.flagged(as_of, chosen).where(F.col(R.KEEP)))
 
 
-def archive(
-    source: Source,
+@dataclass
+class _Job:
+    """One table on its way through a run."""
+
+    source: Source
+    known: dict[int, Row]
+    planned: dict[int, Row] = field(default_factory=dict)
+    creates: list[int] = field(default_factory=list)
+    appends: dict[int, dt.datetime] = field(default_factory=dict)
+    resumes: list[int] = field(default_factory=list)
+    events: list[dict] = field(default_factory=list)
+    versions: list[dict] = field(default_factory=list)
+    windows: dict[int, tuple[dt.datetime, dt.datetime]] = field(default_factory=dict)
+    error: Exception | None = None
+    outcome: Outcome | None = None
+
+    def done(self, year: int, status: str, count: int = 0, **more) -> None:
+        self.events.append(
+            {"table_name": self.source.table_id, "year": year, "status": status, "record_count": count, **more}
+        )
+
+
+def archive_tables(
+    sources: list[Source],
     store: SliceStore,
     audit: AuditLog,
     run_id: str,
@@ -166,154 +207,198 @@ def archive(
     *,
     stale_hours: float = 4.0,
     merge_schema: bool = False,
-) -> Outcome:
-    """Archive every eligible year of one table, and delete from the source if asked to.
+    max_parallel: int = 4,
+) -> list[Outcome]:
+    """Archive every eligible year of the tables, and delete from sources that ask for it.
 
-    Order: STARTED, plan, one write, one read-back check, publish versions, audit, delete.
-    A slice that fails a check is not published, is recorded as FAILED, and does not hold
-    up the others. A directory no version names stays invisible.
+    Order: plan, STARTED, look for other runs, write, read back, publish versions, audit,
+    delete. A slice that fails a check is not published, is recorded as FAILED, and does
+    not hold up the others; a table that raises does not hold up other tables, and the
+    first error is raised at the end. A directory no version names stays invisible.
     """
-    out = Outcome(source.table_id)
+    ids = [s.table_id for s in sources]
+    if len(set(ids)) != len(ids):
+        raise ValueError("a table is listed twice")
     log = audit.rows()
-    planned = {r.slice_year: r for r in plan(source, store, log, run_id, as_of, live=True).collect()}
-    tag = {"table_name": source.table_id}
-    audit.record(run_id, [{**tag, "year": y, "status": "STARTED", "record_count": 0} for y in sorted(planned)])
+    known: dict[str, dict[int, Row]] = {i: {} for i in ids}
+    for r in known_slices(store, log, run_id, ids).collect():
+        known[r.table_id][r.slice_year] = r
+    jobs = [_Job(s, known[s.table_id]) for s in sources]
+
+    def each(step: Callable[[_Job], None]) -> None:
+        def guarded(job: _Job) -> None:
+            if job.error is None:
+                try:
+                    step(job)
+                except Exception as exc:
+                    job.error = exc
+                    job.windows.clear()
+                    job.versions.clear()
+                    job.events = [
+                        {
+                            "table_name": job.source.table_id, "year": y, "status": "FAILED",
+                            "record_count": 0, "error_message": str(exc)[:2000],
+                        }
+                        for y in job.planned
+                    ]
+
+        if len(jobs) == 1:
+            guarded(jobs[0])
+            return
+        # a few driver threads keep the cluster busy between the stages of one table
+        with ThreadPoolExecutor(max_parallel) as pool:
+            list(pool.map(inheritable_thread_target(store.spark)(guarded), jobs))
+
+    def look(job: _Job) -> None:
+        rows = _plan(job.source, store, list(job.known.values()), as_of, live=True).collect()
+        job.planned = {r.slice_year: r for r in rows}
+
+    each(look)
+    audit.record(
+        run_id,
+        [
+            {"table_name": j.source.table_id, "year": y, "status": "STARTED", "record_count": 0}
+            for j in jobs
+            for y in sorted(j.planned)
+        ],
+    )
+    foreign = audit_state.concurrency_probe(
+        audit.rows().where(F.col("table_name").isin(ids)), run_id, audit.clock(), stale_hours
+    )
     busy = {
-        r.year: r.foreign_run_id
-        for r in audit_state.concurrency_probe(_log_of(log, source), run_id, audit.clock(), stale_hours)
-        .where("is_concurrent")
-        .collect()
+        (r.table_name, r.year): r.foreign_run_id for r in foreign.where("is_concurrent").collect()
     }
-    events: list[dict] = []
+    each(lambda job: _sort_out(job, busy))
+    each(lambda job: _write(job, store, run_id, as_of, merge_schema))
+    store.publish([v for j in jobs for v in j.versions])
+    audit.record(run_id, [e for j in jobs for e in j.events])
+    for j in jobs:
+        j.outcome = Outcome(j.source.table_id, list(j.events))
+        j.events = []
+    each(lambda job: _delete(job, store, run_id, as_of))
+    audit.record(run_id, [e for j in jobs for e in j.events])
+    for j in jobs:
+        j.outcome.years += j.events
+    for j in jobs:
+        if j.error is not None:
+            raise j.error
+    return [j.outcome for j in jobs]
 
-    def done(year: int, status: str, count: int = 0, **more) -> None:
-        events.append({**tag, "year": year, "status": status, "record_count": count, **more})
 
-    creates: list[int] = []
-    appends: dict[int, dt.datetime] = {}
-    resumes: list[int] = []
-    for y, p in sorted(planned.items()):
-        if y in busy:
-            done(y, "SKIPPED_CONCURRENT", error_message=f"run {busy[y]} is working on this slice")
+def archive(
+    source: Source, store: SliceStore, audit: AuditLog, run_id: str, as_of: dt.date, **options
+) -> Outcome:
+    """``archive_tables`` for one table."""
+    return archive_tables([source], store, audit, run_id, as_of, **options)[0]
+
+
+def _sort_out(job: _Job, busy: dict) -> None:
+    """Record the slices that need no write; queue the others."""
+    for y, p in sorted(job.planned.items()):
+        foreign = busy.get((job.source.table_id, y))
+        if foreign:
+            job.done(y, "SKIPPED_CONCURRENT", error_message=f"run {foreign} is working on this slice")
         elif p.action == "ERROR":
-            done(y, "FAILED", error_message=p.reason)
+            job.done(y, "FAILED", error_message=p.reason)
         elif p.action == "SKIP":
-            done(y, "SKIPPED", archive_mode="SKIP", source_year_count=p.total_rows)
+            job.done(y, "SKIPPED", archive_mode="SKIP", source_year_count=p.total_rows)
         elif p.action == "RESUME_DELETE":
-            resumes.append(y)
+            job.resumes.append(y)
         elif p.action == "CREATE":
-            creates.append(y)
+            job.creates.append(y)
         else:
-            appends[y] = p.high_water
+            job.appends[y] = p.high_water
 
-    previous = {
-        r.year: r
-        for r in store.latest().where(F.col("table_id") == source.table_id).collect()
-        if r.year in planned
-    }
+
+def _write(job: _Job, store: SliceStore, run_id: str, as_of: dt.date, merge_schema: bool) -> None:
+    """Write all years in one job, read them back, and prepare versions and audit rows."""
+    source = job.source
     schema = source.rows.schema
-    for y in list(appends):
+    for y in list(job.appends):
         try:
-            schema = evolution.reconciled(ddl(previous[y].schema_ddl), schema, merge_schema)
+            schema = evolution.reconciled(ddl(job.known[y].schema_ddl), schema, merge_schema)
         except evolution.SchemaDrift as exc:
-            del appends[y]
-            done(y, "FAILED", error_message=f"schema_drift: {exc}")
-
-    windows: dict[int, tuple[dt.datetime, dt.datetime]] = {}
-    if creates or appends:
-        expected = {y: planned[y].would_archive for y in [*creates, *appends]}
-        got: dict = {}
-        if any(expected.values()):
-            rows = archivable(source, as_of, creates, appends)
-            rows = rows.select("slice_year", *rows.drop("slice_year").columns)
-            shaped = evolution.conform(
-                rows, T.StructType(schema.fields + [T.StructField("slice_year", T.IntegerType())])
-            )
-            path = store.write_rows(shaped, source.table_id, run_id)
-            got = {r.slice_year: r for r in store.written(path, schema, source.watermark).collect()}
-        published, archived = [], []
-        for y, want in sorted(expected.items()):
-            p, w, old = planned[y], got.get(y), previous.get(y)
-            n = w.row_count if w else 0
-            if n != want:
-                done(y, "FAILED", error_message=f"verification_failed: expected {want}, wrote {n}")
-                continue
-            base = list(old.live_dirs) if y in appends else []
-            version = old.version + 1 if old else 0
-            before = old if y in appends else None
-            published.append(
-                {
-                    "table_id": source.table_id,
-                    "year": y,
-                    "version": version,
-                    "op": p.action,
-                    "live_dirs": base + ([store.slice_dir(source.table_id, run_id, y)] if n else []),
-                    "row_count": n + (before.row_count if before else 0),
-                    "wm_lo": _least(before.wm_lo if before else None, w.wm_lo if w else None),
-                    "wm_hi": _greatest(before.wm_hi if before else None, w.wm_hi if w else None),
-                    "schema_ddl": _ddl_of(schema),
-                    "run_id": run_id,
-                    "rows_this_run": n,
-                    "mode": p.action.lower() + ("_deleted" if source.delete_after else ""),
-                    "conditions": [r.name for r in source.rule_list],
-                    "source_year_count": p.total_rows,
-                }
-            )
-            archived.append(
-                dict(
-                    year=y,
-                    status="ARCHIVED",
-                    count=n,
-                    conditions_applied=_names_json(source),
-                    watermark_value=published[-1]["wm_hi"],
-                    source_year_count=p.total_rows,
-                    archive_mode=p.action,
-                    archive_delta_version=version,
-                )
-            )
-            if w:
-                windows[y] = (w.wm_lo, w.wm_hi)
-        store.publish(published)
-        for a in archived:
-            done(**a)
-    audit.record(run_id, events)
-    out.years = list(events)
-
-    if source.delete_after:
-        fresh = [e for e in events if e["status"] == "ARCHIVED"]
-        if fresh or resumes:
-            _finish_deletes(source, store, audit, run_id, as_of, out, planned, fresh, windows, resumes)
-    return out
+            del job.appends[y]
+            job.done(y, "FAILED", error_message=f"schema_drift: {exc}")
+    expected = {y: job.planned[y].would_archive for y in [*job.creates, *job.appends]}
+    got: dict[int, Row] = {}
+    if any(expected.values()):
+        rows = archivable(source, as_of, job.creates, job.appends)
+        shaped = evolution.conform(
+            rows, T.StructType(schema.fields + [T.StructField("slice_year", T.IntegerType())])
+        )
+        path = store.write_rows(shaped, source.table_id, run_id)
+        got = {r.slice_year: r for r in store.written(path, schema, source.watermark).collect()}
+    for y, want in sorted(expected.items()):
+        written, old = got.get(y), job.known.get(y)
+        n = written.row_count if written else 0
+        if n != want:
+            job.done(y, "FAILED", error_message=f"verification_failed: expected {want}, wrote {n}")
+            continue
+        _prepare(job, store, run_id, y, n, written, old, schema)
+
+
+def _prepare(job, store, run_id, year, n, written, old, schema) -> None:
+    source, planned = job.source, job.planned[year]
+    base = old if year in job.appends else None
+    version = old.version + 1 if old and old.version is not None else 0
+    wm_hi = _greatest(base.wm_hi if base else None, written.wm_hi if written else None)
+    job.versions.append(
+        {
+            "table_id": source.table_id,
+            "year": year,
+            "version": version,
+            "op": planned.action,
+            "live_dirs": (list(base.live_dirs) if base else [])
+            + ([store.slice_dir(source.table_id, run_id, year)] if n else []),
+            "row_count": n + (base.row_count if base else 0),
+            "wm_lo": _least(base.wm_lo if base else None, written.wm_lo if written else None),
+            "wm_hi": wm_hi,
+            "schema_ddl": _ddl_of(schema),
+            "run_id": run_id,
+            "rows_this_run": n,
+            "mode": planned.action.lower() + ("_deleted" if source.delete_after else ""),
+            "conditions": [r.name for r in source.rule_list],
+            "source_year_count": planned.total_rows,
+        }
+    )
+    job.done(
+        year,
+        "ARCHIVED",
+        n,
+        conditions_applied=json.dumps([r.name for r in source.rule_list]),
+        watermark_value=wm_hi,
+        source_year_count=planned.total_rows,
+        archive_mode=planned.action,
+        archive_delta_version=version,
+    )
+    if written:
+        job.windows[year] = (written.wm_lo, written.wm_hi)
 
 
-def _finish_deletes(source, store, audit, run_id, as_of, out, planned, fresh, windows, resumes):
+def _delete(job: _Job, store: SliceStore, run_id: str, as_of: dt.date) -> None:
     """Remove freshly archived rows, and finish deletes an earlier attempt of this run left."""
-    events: list[dict] = []
-    slices = {
-        r.year: r for r in store.latest().where(F.col("table_id") == source.table_id).collect()
-    }
-    for y in resumes:
-        kept, held = planned[y].kept_rows, slices[y].row_count
+    if not job.source.delete_after:
+        return
+    fresh = [e for e in job.outcome.years if e["status"] == "ARCHIVED"]
+    for y in job.resumes:
+        kept, held = job.planned[y].kept_rows, job.known[y].row_count
         if kept != held:
-            events.append(_verify_failed(source, y, held, kept))
+            job.events.append(_verify_failed(job.source, y, held, kept))
             continue
         if held:
-            windows[y] = (slices[y].wm_lo, slices[y].wm_hi)
-        events.append(
-            {
-                "table_name": source.table_id,
-                "year": y,
-                "status": "ARCHIVED_AND_DELETED",
-                "record_count": held,
-                "watermark_value": planned[y].high_water,
-                "source_year_count": planned[y].total_rows,
-            }
+            job.windows[y] = (job.known[y].wm_lo, job.known[y].wm_hi)
+        job.done(
+            y,
+            "ARCHIVED_AND_DELETED",
+            held,
+            watermark_value=job.known[y].high_water,
+            source_year_count=job.planned[y].total_rows,
         )
     for e in fresh:
-        events.append({**e, "status": "ARCHIVED_AND_DELETED", "conditions_applied": None})
-    out.source_after = delete_windows(store, source, as_of, windows, run_id)
-    audit.record(run_id, events)
-    out.years += events
+        job.events.append({**e, "status": "ARCHIVED_AND_DELETED", "conditions_applied": None})
+    if job.windows:
+        job.outcome.source_after = delete_windows(store, job.source, as_of, job.windows, run_id)
 
 
 def _verify_failed(source: Source, year: int, archive_count: int, source_count: int) -> dict:
@@ -361,23 +446,6 @@ def delete_windows(
     )
 
 
-def archive_tables(
-    sources: list[Source],
-    store: SliceStore,
-    audit: AuditLog,
-    run_id: str,
-    as_of: dt.date,
-    max_parallel: int = 4,
-    **options,
-) -> list[Outcome]:
-    """Archive several tables; a few driver threads keep the cluster busy between stages."""
-    with ThreadPoolExecutor(max_parallel) as pool:
-        job = inheritable_thread_target(store.spark)(
-            lambda s: archive(s, store, audit, run_id, as_of, **options)
-        )
-        return list(pool.map(job, sources))
-
-
 # -- delete job -------------------------------------------------------------------------
 
 
@@ -507,13 +575,9 @@ def _ddl_of(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
-def _names_json(source: Source) -> str:
-    return "[" + ", ".join('"' + r.name.replace('"', '\\"') + '"' for r in source.rule_list) + "]"
-
-
 def _least(a, b):
-    return min(x for x in (a, b) if x is not None) if a or b else None
+    return min((x for x in (a, b) if x is not None), default=None)
 
 
 def _greatest(a, b):
-    return max(x for x in (a, b) if x is not None) if a or b else None
+    return max((x for x in (a, b) if x is not None), default=None)

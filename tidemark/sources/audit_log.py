@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import ARCHIVE_STATUSES, AUDIT_DDL, DRY_RUN_ACTIONS, RESTORE_AUDIT_DDL, RESTORE_STATUSES, ddl
 from ..session import local_frame
-from .tables import read_or_empty
+from .tables import append_batch, read_or_empty
 
 
 def _utc_now() -> dt.datetime:
@@ -55,12 +55,13 @@ class AuditLog:
             F.raise_error(F.concat(F.lit("audit status not allowed: "), F.coalesce("status", F.lit("NULL"))))
         )
         out = events.withColumn("status", checked)
-        out.select(
+        shaped = out.select(
             *[
                 (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in ddl(schema_ddl)
             ]
-        ).write.mode("append").parquet(path)
+        )
+        append_batch(shaped, path)
 
     def record(self, run_id: str, events: list[dict]) -> None:
         """Append the events of one run (at most a few per table and year) as one file."""
@@ -84,9 +85,7 @@ class AuditLog:
             }
             data.append(tuple(row.get(n) for n in names))
         frame = local_frame(self.spark, data, AUDIT_DDL)
-        frame.withColumn("archived_by", F.current_user()).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        append_batch(frame.withColumn("archived_by", F.current_user()).coalesce(1), self.path)
 
 
 def dry_run_payload(action, counts, total_eligible, would_archive):

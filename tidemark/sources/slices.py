@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions import digest, watermarks as W
 from ..schemas import MANIFEST_DDL, ddl
 from ..session import local_frame
-from .tables import read_or_empty
+from .tables import append_batch, read_or_empty
 
 VALID, MISSING, ORPHAN = "VALID", "MISSING", "ORPHAN"
 
@@ -120,9 +120,7 @@ class SliceStore:
         names = ddl(MANIFEST_DDL).names
         now = dt.datetime.now(dt.timezone.utc)
         data = [tuple({"committed_at": now, **r}.get(n) for n in names) for r in rows]
-        local_frame(self.spark, data, MANIFEST_DDL).coalesce(1).write.mode("append").parquet(
-            self.versions_path
-        )
+        append_batch(local_frame(self.spark, data, MANIFEST_DDL).coalesce(1), self.versions_path)
 
     def latest(self) -> DataFrame:
         return _newest(self.versions())
@@ -170,42 +168,36 @@ class SliceStore:
         )
 
     def states(self) -> DataFrame:
-        """(table_id, year, slice_state, row_count, version, wm_hi) of every known slice.
+        """Every known slice with its ``slice_state`` and newest version.
 
         VALID: a version row whose directories all exist. MISSING: a version row with a
         directory gone. ORPHAN: files on disk under no version row at all.
         """
         on_disk = self.directories()
-        newest = self.latest()
-        wanted = newest.select("table_id", "year", F.explode("live_dirs").alias("dir"))
+        newest = self.latest().select(
+            "table_id", "year", "row_count", "version", "live_dirs", "wm_lo", "wm_hi", "schema_ddl"
+        )
         gone = (
-            wanted.join(on_disk.select("dir"), "dir", "left_anti")
+            newest.select("table_id", "year", F.explode("live_dirs").alias("dir"))
+            .join(on_disk.select("dir"), "dir", "left_anti")
             .select("table_id", "year")
             .distinct()
             .withColumn("gone", F.lit(True))
         )
-        known = newest.join(gone, ["table_id", "year"], "left").select(
-            "table_id",
-            "year",
-            F.when(F.col("gone"), MISSING).otherwise(VALID).alias("slice_state"),
-            F.when(F.col("gone"), F.lit(0)).otherwise(F.col("row_count")).cast("bigint").alias("row_count"),
-            "version",
-            "wm_hi",
+        known = (
+            newest.join(gone, ["table_id", "year"], "left")
+            .withColumn("slice_state", F.when(F.col("gone"), MISSING).otherwise(VALID))
+            .withColumn("row_count", F.when(F.col("gone"), F.lit(0)).otherwise(F.col("row_count")))
+            .drop("gone")
         )
         orphans = (
             on_disk.select("table_id", "year")
             .distinct()
             .join(newest.select("table_id", "year"), ["table_id", "year"], "left_anti")
-            .select(
-                "table_id",
-                "year",
-                F.lit(ORPHAN).alias("slice_state"),
-                F.lit(0).cast("bigint").alias("row_count"),
-                F.lit(None).cast("bigint").alias("version"),
-                F.lit(None).cast("timestamp_ntz").alias("wm_hi"),
-            )
+            .withColumn("slice_state", F.lit(ORPHAN))
+            .withColumn("row_count", F.lit(0).cast("bigint"))
         )
-        return known.unionByName(orphans)
+        return known.unionByName(orphans, allowMissingColumns=True)
 
     def manifest(self) -> DataFrame:
         """Every version with the slice metadata as one JSON document."""

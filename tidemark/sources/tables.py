@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -99,10 +100,18 @@ def sizes(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def append_batch(rows: DataFrame, path: str) -> None:
+    """Append to a log table as a directory of its own, so that runs can append at once.
+
+    Two Spark jobs that append to one directory share its staging area and break each other.
+    """
+    rows.write.parquet(f"{path}/{uuid.uuid4().hex}")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema_ddl: str) -> DataFrame:
-    """A Parquet table that may not exist yet; other read errors propagate."""
+    """A log table that may not exist yet; other read errors propagate."""
     try:
-        return spark.read.schema(schema_ddl).parquet(path)
+        return spark.read.schema(schema_ddl).option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema_ddl)
