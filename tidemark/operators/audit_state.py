@@ -139,8 +139,11 @@ def _probe(log, keys, fields, run_id, as_of, stale_hours) -> DataFrame:
     return aged.withColumn("is_concurrent", fresh).withColumn("is_stale", ~fresh).drop("created_at")
 
 
-def slice_summary(log: DataFrame) -> DataFrame:
-    """Everything the decisions need about each slice, in one aggregation of the log."""
+def slice_summary(log: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Everything the decisions need about each slice, in one aggregation of the log.
+
+    ``owned`` says whether ``run_id`` has an ARCHIVED row for the slice.
+    """
     status = F.col("status")
     return (
         log.groupBy(*SLICE)
@@ -152,6 +155,7 @@ def slice_summary(log: DataFrame) -> DataFrame:
             newest([], status == "RECOVERY_ARCHIVE_DELETED").alias("_wipe"),
             newest(["archive_run_id"], status == "ARCHIVED").alias("_archived"),
             F.bool_or(status == "VERIFY_FAILED").alias("verify_failed"),
+            F.bool_or((status == "ARCHIVED") & (F.col("archive_run_id") == F.lit(run_id))).alias("owned"),
         )
         .select(
             *SLICE,
@@ -166,6 +170,7 @@ def slice_summary(log: DataFrame) -> DataFrame:
                 F.lit(False),
             ).alias("wiped_since"),
             "verify_failed",
+            F.coalesce("owned", F.lit(False)).alias("owned"),
         )
     )
 

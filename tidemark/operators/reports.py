@@ -147,16 +147,30 @@ def slice_health(eligible: DataFrame, states: DataFrame) -> DataFrame:
 def late_arrivals(source: DataFrame, archived: DataFrame, marks: DataFrame) -> DataFrame:
     """Source rows at or below a slice's high-water mark that the slice does not hold.
 
-    The incremental append never sees them. Rows are compared as multisets: each distinct
-    row is counted on both sides (combined map-side) and the surplus is reported once with
-    its count, so copies of one row do not pile up anywhere.
+    The incremental append never sees them. Rows are compared as multisets in two steps.
+    First two row hashes per row are counted on both sides, combined map-side, so a few
+    bytes per row are shuffled and copies of one row do not pile up. Then only rows whose
+    hashes are in surplus are compared column by column and reported once with their count.
 
     ``source`` has slice_year and _wm; ``marks`` (slice_year, high_water) has one row per
     calendar year, hence broadcast.
     """
     columns = [c for c in archived.columns if c != "slice_year"]
+    key = ["slice_year", "_h1", "_h2"]
+    hashes = [
+        F.xxhash64(*[F.col(f"`{c}`") for c in columns]).alias("_h1"),
+        F.xxhash64(F.lit(17), *[F.col(f"`{c}`") for c in columns]).alias("_h2"),
+    ]
     below = source.join(F.broadcast(marks), "slice_year").where(F.col("_wm") <= F.col("high_water"))
-    counted = below.select("slice_year", *columns, F.lit(1).alias("_n")).unionByName(
-        archived.select("slice_year", *columns, F.lit(-1).alias("_n"))
+    have = below.select("slice_year", *columns, *hashes, F.lit(1).alias("_n"))
+    held = archived.select("slice_year", *columns, *hashes, F.lit(-1).alias("_n"))
+    surplus = (
+        have.select(*key, "_n")
+        .unionByName(held.select(*key, "_n"))
+        .groupBy(*key)
+        .agg(F.sum("_n").alias("_n"))
+        .where("_n > 0")
+        .select(*key)
     )
-    return counted.groupBy("slice_year", *columns).agg(F.sum("_n").alias("copies")).where("copies > 0")
+    suspects = have.join(surplus, key, "left_semi").unionByName(held.join(surplus, key, "left_semi"))
+    return suspects.groupBy("slice_year", *columns).agg(F.sum("_n").alias("copies")).where("copies > 0")

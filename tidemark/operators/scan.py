@@ -173,7 +173,6 @@ def propose(matches: DataFrame, sizes: DataFrame, templates: DataFrame) -> DataF
         F.when(status == "ambiguous", detail).alias("ambiguity_detail"),
         F.col("size_gb").alias("table_size_gb"),
         ((status == "matched") & too_small.isNull()).alias("size_check_passed"),
-        ((status == "matched") & (F.col("min_table_size_gb") > 0) & F.col("size_gb").isNull()).alias("size_unknown"),
     )
 
 
@@ -231,7 +230,7 @@ def deactivate(config: DataFrame, staged: DataFrame, scanned: DataFrame, scan_ru
     found = staged.select("table_id").where("table_id IS NOT NULL").distinct().withColumn("_found", F.lit(True))
     schemas = scanned.select("source_catalog", "source_schema").distinct().withColumn("_scanned", F.lit(True))
     joined = config.join(found, "table_id", "left").join(
-        F.broadcast(schemas), ["source_catalog", "source_schema"], "left"
+        schemas, ["source_catalog", "source_schema"], "left"
     )
     vanished = (
         F.coalesce(F.col("modified_by") == "scanner", F.lit(False))
@@ -253,7 +252,12 @@ def deactivate(config: DataFrame, staged: DataFrame, scanned: DataFrame, scan_ru
 
 
 def log_rows(
-    tables: DataFrame, proposed: DataFrame, existing: DataFrame, scan_run_id: str, force: bool = False
+    tables: DataFrame,
+    proposed: DataFrame,
+    existing: DataFrame,
+    scan_run_id: str,
+    force: bool = False,
+    workspace_id: str | None = None,
 ) -> DataFrame:
     """One log row per table of the scan, excluded tables included, with its merge action."""
     owner = existing.select("table_id", F.coalesce("modified_by", F.lit("")).alias("_owner"))
@@ -269,6 +273,7 @@ def log_rows(
         .join(proposed.drop(*TABLE), "table_id", "left")
         .join(owner, "table_id", "left")
         .select(
+            F.sha2(F.concat_ws("/", F.lit(scan_run_id), "table_id"), 256).alias("log_id"),
             F.lit(scan_run_id).alias("scan_run_id"),
             "table_id",
             *TABLE,
@@ -282,7 +287,9 @@ def log_rows(
             F.coalesce("is_active", F.lit(False)).alias("is_active"),
             F.when(excluded, "excluded by template exclude_tables").otherwise(F.col("reason")).alias("inactive_reason"),
             action.alias("merge_action"),
-            F.coalesce("size_unknown", F.lit(False)).alias("size_unknown"),
+            F.lit(workspace_id).cast("string").alias("workspace_id"),
+            F.current_user().alias("scanned_by"),
+            F.current_timestamp().alias("created_at"),
         )
     )
 
@@ -290,14 +297,15 @@ def log_rows(
 def summary(log: DataFrame) -> DataFrame:
     """Counters of a scan, one row, one aggregation."""
     status, active = F.col("match_status"), F.col("is_active")
-    small = (status == "matched") & ~active & ~F.col("size_unknown")
+    failed = (status == "matched") & ~F.col("size_check_passed")
+    unknown = failed & F.col("table_size_gb").isNull()
     return log.agg(
         F.count_if((status == "matched") & active).alias("tables_matched"),
         F.count_if(status == "ambiguous").alias("tables_ambiguous"),
         F.count_if(status == "unmatched").alias("tables_unmatched"),
         F.count_if(status == "excluded").alias("tables_excluded"),
-        F.count_if(small).alias("tables_below_size_threshold"),
-        F.count_if(F.col("size_unknown")).alias("tables_size_unknown"),
+        F.count_if(failed & ~unknown).alias("tables_below_size_threshold"),
+        F.count_if(unknown).alias("tables_size_unknown"),
         F.count_if(F.col("merge_action") == "preserved").alias("tables_preserved"),
     )
 

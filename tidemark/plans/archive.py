@@ -46,20 +46,16 @@ def _log_of(log: DataFrame, source: Source) -> DataFrame:
 
 def known_slices(store: SliceStore, log: DataFrame, run_id: str, table_ids: list[str]) -> DataFrame:
     """Slice state joined with audit state: one row per slice either of them knows."""
-    states = store.states().where(F.col("table_id").isin(table_ids))
+    states = store.states(table_ids)
     log = log.where(F.col("table_name").isin(table_ids))
-    keys = ["table_id", "year"]
-    audited = audit_state.slice_summary(log).withColumnRenamed("table_name", "table_id")
-    owned = audit_state.owned_slices(log, run_id).select(
-        F.col("table_name").alias("table_id"), "year", F.lit(True).alias("owned")
-    )
+    audited = audit_state.slice_summary(log, run_id).withColumnRenamed("table_name", "table_id")
     return (
-        states.join(audited, keys, "full_outer")
-        .join(owned, keys, "left")
+        states.join(audited, ["table_id", "year"], "full_outer")
         .where("year IS NOT NULL")
-        .withColumn("high_water", F.coalesce("last_watermark", "wm_hi"))
-        .withColumnRenamed("year", "slice_year")
-        .drop("last_watermark", "archived_at")
+        .select(
+            "*", F.coalesce("last_watermark", "wm_hi").alias("high_water"), F.col("year").alias("slice_year")
+        )
+        .drop("archived_at")
     )
 
 
@@ -360,6 +356,7 @@ def _prepare(job, store, run_id, year, n, written, old, schema) -> None:
             "mode": planned.action.lower() + ("_deleted" if source.delete_after else ""),
             "conditions": [r.name for r in source.rule_list],
             "source_year_count": planned.total_rows,
+            "retention_years": source.retention_years,
         }
     )
     job.done(
@@ -398,7 +395,8 @@ def _delete(job: _Job, store: SliceStore, run_id: str, as_of: dt.date) -> None:
     for e in fresh:
         job.events.append({**e, "status": "ARCHIVED_AND_DELETED", "conditions_applied": None})
     if job.windows:
-        job.outcome.source_after = delete_windows(store, job.source, as_of, job.windows, run_id)
+        rows = sum(e["record_count"] for e in job.events if e["status"] == "ARCHIVED_AND_DELETED")
+        job.outcome.source_after = delete_windows(store, job.source, as_of, job.windows, run_id, rows)
 
 
 def _verify_failed(source: Source, year: int, archive_count: int, source_count: int) -> dict:
@@ -434,15 +432,19 @@ def doomed_rows(source: Source, as_of: dt.date, windows: dict, rows: DataFrame)
 
 
 def delete_windows(
-    store: SliceStore, source: Source, as_of: dt.date, windows: dict, run_id: str
+    store: SliceStore, source: Source, as_of: dt.date, windows: dict, run_id: str, expected: int
 ) -> Snapshot:
-    """Publish the source without the rows of the given windows, rewriting only hit files."""
+    """Publish the source without the rows of the given windows, rewriting only hit files.
+
+    Refused unless exactly ``expected`` rows, the ones the archive holds, would go.
+    """
     path = f"{store.base}/source/{source.table_id}/run={run_id}"
     return without(
         store.spark,
         Snapshot.of(source.rows),
         lambda rows: doomed_rows(source, as_of, windows, rows),
         path,
+        expected,
     )
 
 
@@ -470,7 +472,7 @@ def plan_delete(
         wanted = local_frame(spark, [(y,) for y in sorted({int(y) for y in years})], "slice_year INT")
         scope = wanted.join(counted, "slice_year", "left")
     scope = scope.select(F.lit(source.table_id).alias("table_id"), "slice_year", "source_count")
-    held = store.states().select(
+    held = store.states([source.table_id]).select(
         "table_id", F.col("year").alias("slice_year"), "slice_state", F.col("row_count").alias("archive_count")
     )
     return decisions.delete_plan(
@@ -496,7 +498,7 @@ def delete_archived(
     log = audit.rows()
     planned = plan_delete(source, store, log, run_id, as_of, audit.clock(), years, stale_hours)
     if dry_run:
-        rows = planned.select(
+        shown = planned.select(
             "table_id",
             "slice_year",
             "action",
@@ -507,7 +509,7 @@ def delete_archived(
             F.create_map().cast("map<string,bigint>").alias("per_condition_counts"),
         )
         no_nulls = store.spark.createDataFrame([], "table_id STRING, null_rows BIGINT")
-        audit.append(dry_run_events(rows, no_nulls, run_id, audit.clock()))
+        audit.append(dry_run_events(shown, no_nulls, run_id, audit.clock()))
         out.years = [r.asDict() for r in planned.orderBy("slice_year").collect()]
         return out
 
@@ -551,7 +553,8 @@ def delete_archived(
                 }
             )
     if windows:
-        out.source_after = delete_windows(store, source, as_of, windows, run_id)
+        rows = sum(e["record_count"] for e in events if e["status"] == "ARCHIVED_AND_DELETED")
+        out.source_after = delete_windows(store, source, as_of, windows, run_id, rows)
     audit.record(run_id, events)
     out.years = events
     return out

@@ -194,8 +194,7 @@ def resolve_actions(spark, d) -> DataFrame:
     facts = spark.sql(SLICE_FACTS.replace(" / 10", " div 10"))
     keys = ["table_name", "year"]
     state = (
-        facts.join(audit_state.slice_summary(log), keys, "left")
-        .join(audit_state.owned_slices(log, RUN).select(*keys, F.lit(True).alias("owned")), keys, "left")
+        facts.join(audit_state.slice_summary(log, RUN), keys, "left")
         .withColumnRenamed("last_watermark", "high_water")
     )
     return decisions.resolve(state, live=True).select(*keys, "action", "reason", "would_archive")

@@ -150,9 +150,9 @@ def _log(spark, d) -> DataFrame:
     return scan.log_rows(s.tables, s.proposed, s.existing, RUN)
 
 
-@query("scan_log", LOG_SQL)
+@query("scan_log", f"SELECT * EXCLUDE (size_unknown) FROM ({LOG_SQL}) l")
 def scan_log(spark, d) -> DataFrame:
-    return _log(spark, d).drop("all_matched_columns")
+    return _log(spark, d).drop("all_matched_columns", "log_id", "workspace_id", "scanned_by", "created_at")
 
 
 @query(

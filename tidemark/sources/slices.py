@@ -10,6 +10,7 @@ is invisible.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -22,6 +23,8 @@ from .tables import append_batch, read_or_empty
 
 VALID, MISSING, ORPHAN = "VALID", "MISSING", "ORPHAN"
 
+_SLICE_FILE = re.compile(r"/data/([^/]+)/run=([^/]+)/slice_year=(-?\d+)/[^/]+$")
+
 
 @dataclass(frozen=True)
 class SliceStore:
@@ -120,7 +123,8 @@ class SliceStore:
         names = ddl(MANIFEST_DDL).names
         now = dt.datetime.now(dt.timezone.utc)
         data = [tuple({"committed_at": now, **r}.get(n) for n in names) for r in rows]
-        append_batch(local_frame(self.spark, data, MANIFEST_DDL).coalesce(1), self.versions_path)
+        frame = local_frame(self.spark, data, MANIFEST_DDL).withColumn("committed_by", F.current_user())
+        append_batch(frame.coalesce(1), self.versions_path)
 
     def latest(self) -> DataFrame:
         return _newest(self.versions())
@@ -139,65 +143,62 @@ class SliceStore:
             )
         )
 
-    def directories(self) -> DataFrame:
-        """Slice directories that really hold files: (table_id, run_id, year, dir)."""
-        empty = "path STRING"
-        files = _file_paths(self.spark, f"{self.base}/data")
-        if files is None:
-            files = self.spark.createDataFrame([], empty)
-        parts = r"/data/([^/]+)/run=([^/]+)/slice_year=(-?\d+)/[^/]+$"
-        return (
-            files.select(
-                F.regexp_extract("path", parts, 1).alias("table_id"),
-                F.regexp_extract("path", parts, 2).alias("run_id"),
-                F.regexp_extract("path", parts, 3).alias("year_text"),
-            )
-            .where("table_id <> ''")
-            .select("table_id", "run_id", F.col("year_text").cast("int").alias("year"))
-            .distinct()
-            .withColumn(
-                "dir",
-                F.concat_ws(
-                    "/",
-                    F.lit(f"{self.base}/data"),
-                    "table_id",
-                    F.concat(F.lit("run="), "run_id"),
-                    F.concat(F.lit("slice_year="), F.col("year").cast("string")),
-                ),
+    def directories(self, table_ids: list[str] | None = None) -> DataFrame:
+        """Slice directories that hold files: (table_id, run_id, year, dir).
+
+        Taken from Spark's file index, which lists in parallel and reads nothing; only the
+        directory names, years times runs, go further.
+        """
+        which = "{" + ",".join(table_ids) + "}" if table_ids else "*"
+        found = sorted({m.groups() for m in map(_SLICE_FILE.search, self._files(f"{self.base}/data/{which}")) if m})
+        rows = [(t, run, int(y), self.slice_dir(t, run, int(y))) for t, run, y in found]
+        return local_frame(self.spark, rows, "table_id STRING, run_id STRING, year INT, dir STRING")
+
+    def _files(self, pattern: str) -> list[str]:
+        try:
+            listed = (
+                self.spark.read.format("binaryFile")
+                .option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.parquet")
+                .load(pattern)
             )
-        )
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        return listed.inputFiles()
 
-    def states(self) -> DataFrame:
-        """Every known slice with its ``slice_state`` and newest version.
+    def states(self, table_ids: list[str] | None = None) -> DataFrame:
+        """Every known slice (of the given tables) with its state and newest version.
 
         VALID: a version row whose directories all exist. MISSING: a version row with a
-        directory gone. ORPHAN: files on disk under no version row at all.
+        directory gone. ORPHAN: files on disk under no version row at all. Version rows and
+        directories meet in one aggregation; a slice has a handful of either per run.
         """
-        on_disk = self.directories()
-        newest = self.latest().select(
-            "table_id", "year", "row_count", "version", "live_dirs", "wm_lo", "wm_hi", "schema_ddl"
-        )
-        gone = (
-            newest.select("table_id", "year", F.explode("live_dirs").alias("dir"))
-            .join(on_disk.select("dir"), "dir", "left_anti")
-            .select("table_id", "year")
-            .distinct()
-            .withColumn("gone", F.lit(True))
-        )
-        known = (
-            newest.join(gone, ["table_id", "year"], "left")
-            .withColumn("slice_state", F.when(F.col("gone"), MISSING).otherwise(VALID))
-            .withColumn("row_count", F.when(F.col("gone"), F.lit(0)).otherwise(F.col("row_count")))
-            .drop("gone")
-        )
-        orphans = (
-            on_disk.select("table_id", "year")
-            .distinct()
-            .join(newest.select("table_id", "year"), ["table_id", "year"], "left_anti")
-            .withColumn("slice_state", F.lit(ORPHAN))
-            .withColumn("row_count", F.lit(0).cast("bigint"))
+        row = F.struct("version", "row_count", "live_dirs", "wm_lo", "wm_hi", "schema_ddl")
+        versions = self.versions()
+        if table_ids is not None:
+            versions = versions.where(F.col("table_id").isin(table_ids))
+        versions = versions.select("table_id", "year", row.alias("row"), F.lit(None).cast("string").alias("dir"))
+        on_disk = self.directories(table_ids).select("table_id", "year", F.lit(None).alias("row"), "dir")
+        known = F.col("row").isNotNull()
+        gone = known & (F.size(F.array_except("row.live_dirs", "dirs")) > 0)
+        return (
+            versions.union(on_disk)
+            .groupBy("table_id", "year")
+            .agg(F.max_by("row", "row.version").alias("row"), F.collect_set("dir").alias("dirs"))
+            .select(
+                "table_id",
+                "year",
+                F.when(gone, MISSING).when(known, VALID).otherwise(ORPHAN).alias("slice_state"),
+                F.when(known & ~gone, F.col("row.row_count")).otherwise(F.lit(0)).alias("row_count"),
+                "row.version",
+                "row.live_dirs",
+                "row.wm_lo",
+                "row.wm_hi",
+                "row.schema_ddl",
+            )
         )
-        return known.unionByName(orphans, allowMissingColumns=True)
 
     def manifest(self) -> DataFrame:
         """Every version with the slice metadata as one JSON document."""
@@ -214,11 +215,15 @@ class SliceStore:
             F.to_json(
                 F.struct(
                     F.col("rows_this_run").alias("record_count"),
-                    "conditions",
+                    F.col("conditions").alias("conditions_applied"),
                     "mode",
                     F.col("wm_hi").alias("watermark_value"),
                     "source_year_count",
+                    "retention_years",
+                    F.col("table_id").alias("source_table"),
                     F.col("run_id").alias("archive_run_id"),
+                    F.col("committed_by").alias("archived_by"),
+                    F.col("committed_at").alias("archived_at"),
                 )
             ).alias("metadata"),
         )
@@ -257,18 +262,3 @@ def _newest(versions: DataFrame) -> DataFrame:
         .select("table_id", "year", "row.*")
         .select(*versions.columns)
     )
-
-
-def _file_paths(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(root)
-            .select("path")
-        )
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise

@@ -32,11 +32,16 @@ class Snapshot:
 
 
 def without(
-    spark: SparkSession, old: Snapshot, mark: Callable[[DataFrame], DataFrame], path: str
+    spark: SparkSession,
+    old: Snapshot,
+    mark: Callable[[DataFrame], DataFrame],
+    path: str,
+    expected: int | None = None,
 ) -> Snapshot:
     """Publish ``old`` minus the rows that ``mark`` dooms.
 
     ``mark`` adds a boolean column ``_doomed`` to the rows it is given; NULL keeps a row.
+    With ``expected``, any other number of doomed rows is refused before anything is written.
     The file names collected here are the same list Spark's own file index holds.
     """
     gone = F.coalesce(F.col(DOOMED), F.lit(False))
@@ -45,9 +50,12 @@ def without(
         .groupBy(FILE)
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(gone).alias("d"))
         .where("d > 0")
-        .select(FILE, (F.col("d") < F.col("n")).alias("mixed"))
+        .select(FILE, "d", (F.col("d") < F.col("n")).alias("mixed"))
         .collect()
     )
+    found = sum(r.d for r in touched)
+    if expected is not None and found != expected:
+        raise ValueError(f"delete refused: {expected} rows were archived, {found} would be removed")
     if not touched:
         return old
     hit = {_plain(r[FILE]) for r in touched}

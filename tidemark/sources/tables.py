@@ -91,6 +91,7 @@ def sizes(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", "*.parquet")
         .load(root)
         .select("path", "length")
+        .coalesce(64)  # else one task per file, for a few bytes of metadata each
     )
     plain_root = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
     below = F.substring_index("path", plain_root + "/", -1)
