@@ -19,6 +19,7 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .skew import unique_lookup
 from .watermarks import col
 
 ALIAS = "src"
@@ -82,9 +83,8 @@ def counted_exists(text: str) -> str:
     """Rewrite ``EXISTS (SELECT 1 FROM t ...)`` as ``0 < (SELECT count(*) FROM t ...)``.
 
     Both are true for the same rows. Catalyst turns the first, used as a flag, into an
-    existence join, which adaptive execution cannot split on a hot source key. It turns
-    the second into: aggregate the referenced table by the correlated key, then LEFT OUTER
-    JOIN; the referenced side is thus pre-aggregated and the source side can be split.
+    existence join with every row of the referenced table. It turns the second into an
+    aggregate of that table by the correlated key, combined map-side, and then a join.
     """
     single = len(re.findall(r"\bSELECT\b", text, re.IGNORECASE)) == 1
     if single and _PLAIN_EXISTS.match(text) and not _NOT_PLAIN.search(text):
@@ -92,6 +92,38 @@ def counted_exists(text: str) -> str:
     return text
 
 
+_OUTER = re.compile(r"\{source_alias\}\s*\.\s*(?:`([^`]+)`|(\w+))")
+
+
+def outer_columns(text: str) -> list[str]:
+    """Source columns a custom SQL rule mentions, in order of appearance."""
+    return list(dict.fromkeys(quoted or plain for quoted, plain in _OUTER.findall(text)))
+
+
+def _looked_up(
+    out: DataFrame, rows: DataFrame, rule: Rule, name: str, catalog: str, schema: str
+) -> DataFrame:
+    """Add the flag of a custom SQL rule with a subquery, safely for hot keys on either side.
+
+    The rule can only depend on the source columns it mentions, so it is decided once per
+    distinct combination of them in ``rows``, and the verdicts are joined to ``out``. A key
+    that owns a third of the source is one row in the first step; in the second, its rows
+    are split over tasks by adaptive execution.
+    """
+    columns = outer_columns(str(rule.value))
+    text = counted_exists(fill_placeholders(str(rule.value), catalog, schema))
+    keys = [f"_key_{i}" for i in range(len(columns))]
+    verdicts = (
+        rows.select(*[col(c) for c in columns])
+        .distinct()
+        .alias(ALIAS)
+        .select(*[F.col(f"{ALIAS}.`{c}`").alias(k) for c, k in zip(columns, keys)], F.expr(text).alias(name))
+    )
+    verdicts = unique_lookup(verdicts, keys, F.max(name).alias(name))
+    same = reduce(and_, [col(c).eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
+    return out.join(verdicts, same, "left").drop(*keys)
+
+
 def fill_placeholders(text: str, catalog: str, schema: str) -> str:
     for mark, name in (
         ("{source_alias}", ALIAS), ("{source_catalog}", catalog), ("{source_schema}", schema),
@@ -147,15 +179,22 @@ KEEP = "_keep"
 def with_flags(
     rows: DataFrame, rules: Iterable[Rule], as_of: dt.date, catalog: str = "", schema: str = ""
 ) -> DataFrame:
-    """Add one flag column per rule and the combined ``_keep`` column, in one projection."""
+    """Add one flag column per rule and the combined ``_keep`` column."""
     rules = [Rule.of(r) for r in rules]
-    aliased = rows.alias(ALIAS)
+    out = rows
     for i, rule in enumerate(rules):
         try:
-            aliased = aliased.withColumn(flag_name(i), flag(rule, rows, as_of, catalog, schema)).alias(ALIAS)
+            if rule.type == "custom_sql" and _has_subquery(rule) and outer_columns(str(rule.value)):
+                out = _looked_up(out, rows, rule, flag_name(i), catalog, schema)
+            else:
+                out = out.alias(ALIAS).withColumn(flag_name(i), flag(rule, rows, as_of, catalog, schema))
         except AnalysisException as exc:
             raise RuleError(f"rule {rule.name!r} cannot be applied: {exc}") from exc
-    return aliased.withColumn(KEEP, keep_all(rules))
+    return out.withColumn(KEEP, keep_all(rules))
+
+
+def _has_subquery(rule: Rule) -> bool:
+    return re.search(r"\bSELECT\b", str(rule.value), re.IGNORECASE) is not None
 
 
 def keep_all(rules: Iterable[Rule]) -> Column:

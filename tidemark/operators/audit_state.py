@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.skew import unique_lookup
 from ..schemas import SUCCESS_STATUSES, TERMINAL_STATUSES
 
 SLICE = ("table_name", "year")
@@ -71,16 +72,14 @@ def verify_failed_flag(log: DataFrame, since: dt.datetime | None = None) -> Data
 
 
 def delete_blockers(log: DataFrame, cutoffs: DataFrame | None = None) -> DataFrame:
-    """Newest ARCHIVED_AND_DELETED row per slice, optionally after a per-slice cutoff.
+    """Newest ARCHIVED_AND_DELETED row per slice, optionally only if after a per-slice cutoff.
 
-    ``cutoffs`` is (table_name, year, after_created_at). Both sides are reduced to what
-    matters before they meet: deletes on one side, one cutoff per slice on the other.
+    ``cutoffs`` is (table_name, year, after_created_at), one row per slice. The newest delete
+    is after the cutoff exactly when any is, so the log is aggregated before the join.
     """
-    deletes = log.where(F.col("status") == "ARCHIVED_AND_DELETED")
-    if cutoffs is not None:
-        deletes = deletes.join(cutoffs, list(SLICE)).where("created_at > after_created_at")
-    return (
-        deletes.groupBy(*SLICE)
+    found = (
+        log.where(F.col("status") == "ARCHIVED_AND_DELETED")
+        .groupBy(*SLICE)
         .agg(newest([]).alias("_newest"))
         .select(
             *SLICE,
@@ -88,6 +87,9 @@ def delete_blockers(log: DataFrame, cutoffs: DataFrame | None = None) -> DataFra
             F.col("_newest.created_at").alias("deleted_at"),
         )
     )
+    if cutoffs is None:
+        return found
+    return found.join(cutoffs, list(SLICE)).where("deleted_at > after_created_at").drop("after_created_at")
 
 
 def owned_slices(log: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -101,7 +103,7 @@ def owned_slices(log: DataFrame, run_id: str | None = None) -> DataFrame:
 def open_runs(log: DataFrame) -> DataFrame:
     """STARTED rows whose run has no terminal row for the same table and year."""
     keys = [*SLICE, "archive_run_id"]
-    finished = log.where(F.col("status").isin(*TERMINAL_STATUSES)).select(*keys).distinct()
+    finished = unique_lookup(log.where(F.col("status").isin(*TERMINAL_STATUSES)), keys)
     return (
         log.where(F.col("status") == "STARTED")
         .join(finished, keys, "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.skew import unique_lookup
 from ..schemas import ROLLBACK_STATUSES
 from ..sources.slices import VALID
 
@@ -14,8 +15,8 @@ def rollback_gates(
     """Check each request (table_id, year, target_audit_id) against log and slice versions.
 
     Output: the request with ``target_version`` and ``refused_by`` (NULL means allowed).
-    Every join key is unique on the joined side: audit ids, slices, or one newest delete
-    per slice, so a hot slice cannot multiply rows.
+    Two joins: by audit id, and by slice to one row that holds all there is to know about
+    the slice. Both lookup sides are unique, so a hot slice cannot multiply rows.
     """
     target = log.select(
         F.col("audit_id").alias("target_audit_id"),
@@ -28,21 +29,20 @@ def rollback_gates(
     )
     # A source delete later than the target blocks it. The newest delete of the slice is
     # later than the target exactly when any delete is.
-    last_delete = (
+    facts = (
         log.where(F.col("status") == "ARCHIVED_AND_DELETED")
-        .groupBy(F.col("table_name").alias("table_id"), "year")
-        .agg(F.max("created_at").alias("_deleted_at"))
+        .select(F.col("table_name").alias("table_id"), "year", F.col("created_at").alias("_deleted_at"))
+        .unionByName(states.select("table_id", "year", F.col("slice_state").alias("_state")), allowMissingColumns=True)
+        .unionByName(recoverable.select("table_id", "year", F.col("version").alias("_version")), allowMissingColumns=True)
     )
-    known = states.select("table_id", "year", "slice_state")
-    versions = recoverable.select(
-        "table_id", "year", F.col("version").alias("target_version"), F.lit(True).alias("_reachable")
-    )
-    joined = (
-        requests.join(target, "target_audit_id", "left")
-        .join(last_delete, ["table_id", "year"], "left")
-        .join(known, ["table_id", "year"], "left")
-        .join(versions, ["table_id", "year", "target_version"], "left")
+    slices = unique_lookup(
+        facts,
+        ["table_id", "year"],
+        F.max("_deleted_at").alias("_deleted_at"),
+        F.max("_state").alias("_state"),
+        F.collect_set("_version").alias("_versions"),
     )
+    joined = requests.join(target, "target_audit_id", "left").join(slices, ["table_id", "year"], "left")
     refused = (
         F.when(F.col("_found").isNull(), "target_not_found")
         .when(F.coalesce(F.col("_table") != F.col("table_id"), F.lit(True)), "target_wrong_table")
@@ -52,8 +52,8 @@ def rollback_gates(
         .when(F.col("_year") != F.col("year"), "target_wrong_year")
         .when(F.col("_deleted_at") > F.col("_created_at"), "rollback_after_source_delete_refused")
         .when(F.col("target_version").isNull(), "target_missing_version")
-        .when(F.coalesce(F.col("slice_state") != VALID, F.lit(True)), "target_version_unavailable")
-        .when(F.col("_reachable").isNull(), "target_version_vacuumed")
+        .when(F.coalesce(F.col("_state") != VALID, F.lit(True)), "target_version_unavailable")
+        .when(~F.array_contains("_versions", F.col("target_version")), "target_version_vacuumed")
     )
     return joined.select("target_audit_id", "table_id", "year", "target_version", refused.alias("refused_by"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.skew import unique_lookup
 from ..sources.audit_log import PAYLOAD_DDL
 
 
@@ -164,13 +165,7 @@ def late_arrivals(source: DataFrame, archived: DataFrame, marks: DataFrame) -> D
     below = source.join(F.broadcast(marks), "slice_year").where(F.col("_wm") <= F.col("high_water"))
     have = below.select("slice_year", *columns, *hashes, F.lit(1).alias("_n"))
     held = archived.select("slice_year", *columns, *hashes, F.lit(-1).alias("_n"))
-    surplus = (
-        have.select(*key, "_n")
-        .unionByName(held.select(*key, "_n"))
-        .groupBy(*key)
-        .agg(F.sum("_n").alias("_n"))
-        .where("_n > 0")
-        .select(*key)
-    )
+    counted = have.select(*key, "_n").unionByName(held.select(*key, "_n"))
+    surplus = unique_lookup(counted, key, F.sum("_n").alias("_n")).where("_n > 0").drop("_n")
     suspects = have.join(surplus, key, "left_semi").unionByName(held.join(surplus, key, "left_semi"))
     return suspects.groupBy("slice_year", *columns).agg(F.sum("_n").alias("copies")).where("copies > 0")

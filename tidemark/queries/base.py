@@ -81,8 +81,8 @@ ORDER_COLUMNS = (
 )
 
 
-def orders_source(rows: DataFrame, rules=(PENDING, BIG), **more) -> Source:
-    return Source("orders", rows, "o_orderdate", RETENTION, rules=tuple(rules), **more)
+def orders_source(rows: DataFrame, rules=(PENDING, BIG), retention_years=RETENTION, **more) -> Source:
+    return Source("orders", rows, "o_orderdate", retention_years, rules=tuple(rules), **more)
 
 
 def lineitem_source(rows: DataFrame, rules=(FLAG_R,), **more) -> Source:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from .. import archive, archive_tables, delete_archived, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
+from .. import archive, archive_tables, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
 from ..operators import audit_state, decisions, profile, reports
 from ..plans.archive import archivable
 from ..functions import digest
@@ -44,11 +44,17 @@ def appended_orders(spark, d):
     return store, log, orders_source(orders)
 
 
-def appended_events(spark, d, store, log):
-    (events,) = read(spark, d, "events")
+def appended_both(spark, d):
+    """Orders and events, each archived in two runs; both clocks reach the same years."""
+    orders, events = read(spark, d, "orders", "events")
+    store, log = lifecycle(spark)
     early = events.where(f"ts <= TIMESTAMP_NTZ '{MIDDAY}'")
-    archive(events_source(early), store, log, "r1", EVENTS_AS_OF)
-    archive(events_source(events), store, log, "r2", EVENTS_AS_OF)
+    kept_years = EVENTS_AS_OF.year - LAST_YEAR
+    for run_id, o, e in (("r1", first_load(orders), early), ("r2", orders, events)):
+        archive_tables(
+            [orders_source(o, retention_years=kept_years), events_source(e)], store, log, run_id, EVENTS_AS_OF
+        )
+    return store
 
 
 @query("archive_create", ARCHIVED_SQL)
@@ -86,8 +92,7 @@ def archive_create_custom_sql(spark, d) -> DataFrame:
     """,
 )
 def archive_append(spark, d) -> DataFrame:
-    store, log, _ = appended_orders(spark, d)
-    appended_events(spark, d, store, log)
+    store = appended_both(spark, d)
 
     def shape(table: str, key: str, wm: str) -> DataFrame:
         return store.read(table).groupBy("slice_year").agg(
@@ -268,8 +273,7 @@ def slice_manifest(spark, d) -> DataFrame:
     """,
 )
 def slice_high_water(spark, d) -> DataFrame:
-    store, log, _ = appended_orders(spark, d)
-    appended_events(spark, d, store, log)
+    store = appended_both(spark, d)
     return (
         store.high_water("orders", "o_orderdate")
         .select(F.lit("orders").alias("table_id"), "*")

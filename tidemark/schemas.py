@@ -48,7 +48,7 @@ TERMINAL_STATUSES = tuple(s for s in ARCHIVE_STATUSES if s != "STARTED")
 
 
 def ddl(text: str) -> T.StructType:
-    """Parse a DDL column list into a ``StructType`` without needing a session."""
+    """A DDL column list as a ``StructType``; needs an active session."""
     return T.StructType.fromDDL(text)
 
 
