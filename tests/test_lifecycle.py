@@ -282,6 +282,22 @@ def test_year_follows_the_time_zone(spark, table):
     assert profile.eligible_years(utc, AS_OF).count() == 0
 
 
+def test_schema_change_of_one_year(spark, life, table):
+    """Years written before a column was widened and one added read together with later ones."""
+    store, audit = life
+    old = rows(0, 2018, 4) + rows(10, 2020, 4)
+    tm.archive(source(table(old, DDL, name="a")), store, audit, "r1", AS_OF)
+    wider = [(*r, "eu") for r in old + rows(50, 2020, 2, month=9)]
+    df = table(wider, "id BIGINT, status STRING, amount DOUBLE, at TIMESTAMP_NTZ, region STRING", name="b")
+    refused = tm.archive(source(df), store, audit, "r2", AS_OF)
+    assert [e["status"] for e in refused.years if e["year"] == 2020] == ["FAILED"]
+    assert "schema_drift" in [e["error_message"] for e in refused.years if e["year"] == 2020][0]
+    tm.archive(source(df), store, audit, "r3", AS_OF, merge_schema=True)
+    got = store.read("db.t")
+    assert dict(got.dtypes)["id"] == "bigint"
+    assert {r.id: r.region for r in got.collect()} == {**{r[0]: None for r in old}, 50: "eu", 51: "eu"}
+
+
 def test_empty_create_then_no_position(life, table):
     """All rows protected: an empty slice, and later no position to append from."""
     store, audit = life

@@ -8,6 +8,7 @@ off, only an unchanged schema or a missing column passes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -84,6 +85,18 @@ def reconciled(
     return T.StructType(fields)
 
 
+def common(schemas: list[T.StructType]) -> T.StructType:
+    """The schema under which files of all these schemas can be read together."""
+
+    def both(a: T.StructType, b: T.StructType) -> T.StructType:
+        try:
+            return reconciled(a, b)
+        except SchemaDrift:
+            return reconciled(b, a)
+
+    return reduce(both, schemas)
+
+
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``rows`` onto ``schema``: order, widen, and fill absent columns with NULL."""
     have = set(rows.columns)

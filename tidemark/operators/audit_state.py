@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import watermarks as W
 from ..functions.skew import unique_lookup
 from ..schemas import SUCCESS_STATUSES, TERMINAL_STATUSES
 
@@ -111,11 +112,6 @@ def open_runs(log: DataFrame) -> DataFrame:
     )
 
 
-def _age_hours(as_of: Column) -> Column:
-    age = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("created_at").cast("timestamp"))
-    return F.greatest(F.lit(0.0), age / F.lit(3.6e9))
-
-
 def concurrency_probe(
     log: DataFrame, run_id: str | None, as_of: dt.datetime, stale_hours: float = 4.0
 ) -> DataFrame:
@@ -136,7 +132,10 @@ def _probe(log, keys, fields, run_id, as_of, stale_hours) -> DataFrame:
     renamed = found.withColumnRenamed("archive_run_id", "foreign_run_id")
     if "year" in fields:
         renamed = renamed.withColumnRenamed("year", "foreign_year")
-    aged = renamed.withColumn("age_hours", _age_hours(F.lit(as_of)))
+    # a log without time zone is taken as UTC, like the stored watermarks
+    now = F.lit(as_of.astimezone(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    age = F.timestamp_diff("MICROSECOND", W.instant(renamed, "created_at"), now) / F.lit(3.6e9)
+    aged = renamed.withColumn("age_hours", F.greatest(F.lit(0.0), age))
     fresh = F.col("age_hours") < F.lit(float(stale_hours))
     return aged.withColumn("is_concurrent", fresh).withColumn("is_stale", ~fresh).drop("created_at")
 

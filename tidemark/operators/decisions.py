@@ -43,16 +43,18 @@ def resolve(state: DataFrame, live: bool = False) -> DataFrame:
             _yes("verify_failed"), _verdict("ERROR", "verify_failed_requires_reconcile")
         )
     verdict = verdict.otherwise(_verdict("APPEND"))
+    action = F.col("_verdict.action")
     return (
-        state.withColumn("_verdict", verdict)
-        .withColumn("action", F.col("_verdict.action"))
-        .withColumn("reason", F.col("_verdict.reason"))
-        .withColumn(
-            "would_archive",
-            F.when(F.col("action") == "CREATE", F.coalesce("kept_rows", F.lit(0)))
-            .when(F.col("action") == "APPEND", F.col("new_rows"))
+        state.select("*", verdict.alias("_verdict"))
+        .select(
+            "*",
+            action.alias("action"),
+            F.col("_verdict.reason").alias("reason"),
+            F.when(action == "CREATE", F.coalesce("kept_rows", F.lit(0)))
+            .when(action == "APPEND", F.col("new_rows"))
             .otherwise(F.lit(0))
-            .cast("bigint"),
+            .cast("bigint")
+            .alias("would_archive"),
         )
         .drop("_verdict")
     )

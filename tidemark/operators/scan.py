@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..schemas import AMBIGUOUS_PREFIX, BELOW_SIZE_FORMAT, EXCLUDED_REASON, UNMATCHED_REASON
 from ..session import local_frame
 
 TABLE = ("source_catalog", "source_schema", "source_table")
@@ -130,7 +131,7 @@ def size_gate(size_gb: Column, min_gb: Column) -> Column:
         size_gb.isNull(), "table size unknown"
     ).when(
         size_gb < min_gb,
-        F.format_string("table size %.1f GB is below minimum threshold of %.1f GB", size_gb, min_gb),
+        F.format_string(BELOW_SIZE_FORMAT, size_gb, min_gb),
     )
 
 
@@ -153,8 +154,8 @@ def propose(matches: DataFrame, sizes: DataFrame, templates: DataFrame) -> DataF
     )
     too_small = size_gate(F.col("size_gb"), F.col("min_table_size_gb"))
     reason = (
-        F.when(status == "unmatched", "no date column matched — no pattern matched any column")
-        .when(status == "ambiguous", F.concat(F.lit("ambiguous date column: "), detail))
+        F.when(status == "unmatched", UNMATCHED_REASON)
+        .when(status == "ambiguous", F.concat(F.lit(AMBIGUOUS_PREFIX), detail))
         .otherwise(too_small)
     )
     return joined.select(
@@ -285,7 +286,7 @@ def log_rows(
             "table_size_gb",
             F.coalesce("size_check_passed", F.lit(False)).alias("size_check_passed"),
             F.coalesce("is_active", F.lit(False)).alias("is_active"),
-            F.when(excluded, "excluded by template exclude_tables").otherwise(F.col("reason")).alias("inactive_reason"),
+            F.when(excluded, EXCLUDED_REASON).otherwise(F.col("reason")).alias("inactive_reason"),
             action.alias("merge_action"),
             F.lit(workspace_id).cast("string").alias("workspace_id"),
             F.current_user().alias("scanned_by"),

@@ -42,6 +42,10 @@ RULE_OPERATORS = (
     "is_not_null",
 )
 MATCH_STATUSES = ("matched", "ambiguous", "unmatched", "excluded")
+UNMATCHED_REASON = "no date column matched — no pattern matched any column"
+AMBIGUOUS_PREFIX = "ambiguous date column: "
+BELOW_SIZE_FORMAT = "table size %.1f GB is below minimum threshold of %.1f GB"
+EXCLUDED_REASON = "excluded by template exclude_tables"
 # --- end of fixed values ---
 
 TERMINAL_STATUSES = tuple(s for s in ARCHIVE_STATUSES if s != "STARTED")

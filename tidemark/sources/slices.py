@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import digest, watermarks as W
+from ..functions import digest, evolution, watermarks as W
 from ..schemas import MANIFEST_DDL, ddl
 from ..session import local_frame
 from .tables import append_batch, read_or_empty
@@ -82,9 +82,7 @@ class SliceStore:
         schemas = [ddl(r.schema_ddl) for r in found if r.schema_ddl]
         if not schemas:
             raise LookupError(f"no slice of {table_id} for years {years}")
-        schema = max(schemas, key=lambda s: len(s.fields)) if _nested(schemas) else None
-        if schema is None:
-            raise ValueError(f"slices of {table_id} differ in schema; read them one by one")
+        schema = evolution.common(schemas)  # narrower and shorter files read fine under it
         dirs = [d for r in found for d in r.live_dirs]
         with_year = _with_year(schema)
         if not dirs:
@@ -246,12 +244,6 @@ def _with_year(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("slice_year", T.IntegerType())])
 
 
-def _nested(schemas: list[T.StructType]) -> bool:
-    """True when one of the schemas can read all the others (added columns only)."""
-    widest = {f.name: f.dataType for f in max(schemas, key=lambda s: len(s.fields))}
-    return all(widest.get(f.name) == f.dataType for s in schemas for f in s)
-
-
 def _newest(versions: DataFrame) -> DataFrame:
     """Newest version row per slice by a mergeable aggregate, not a window."""
     rest = [c for c in versions.columns if c not in ("table_id", "year")]
