@@ -47,6 +47,7 @@ def test_reference_rule_is_preaggregated_and_splittable(spark):
 def tiny_limits(spark):
     """Sort-merge joins only, and kilobytes where a cluster has gigabytes."""
     conf = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
