@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import archive, restore
 from ..functions import evolution
 from ..plans.restore import mismatch
-from .base import AS_OF, FIRST_LOAD_SQL, KEPT_SQL, LAST_YEAR, ORDER_COLUMNS, Y, first_load, lifecycle, orders_source, query, read
+from .base import AS_OF, ORDER_COLUMNS, first_load, lifecycle, orders_source, query, read
 from .slice_queries import APPENDED_SQL, ARCHIVED_SQL, FIRST_SQL, SECOND_SQL, archived_orders
 
 COLS = ", ".join(ORDER_COLUMNS)

@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from .. import archive, archive_tables, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
-from ..operators import audit_state, decisions, profile, reports
+from ..operators import decisions, profile, reports
 from ..plans.archive import archivable
 from ..functions import digest
 from ..sources.audit_log import PAYLOAD_DDL
+from ..sources.tables import Source
 from .base import (
     AS_OF, EVENTS_AS_OF, FIRST_LOAD_SQL, KEPT_SQL, LAST_YEAR, MIDDAY, ORDER_COLUMNS, ORDERS_N, RETURNED, Y,
     events_source, first_load, lifecycle, lineitem_source, orders_source, query, read,
@@ -452,8 +453,6 @@ def dry_run_plan(spark, d) -> DataFrame:
     """,
 )
 def dry_run_audit(spark, d) -> DataFrame:
-    from ..sources.tables import Source
-
     read(spark, d, "orders")
     store, log = lifecycle(spark)
     base = orders_source(spark.sql(ORDERS_N))
