@@ -77,9 +77,12 @@ def wipe(
     word = "WOULD_RECOVERY_ARCHIVE_DELETED" if dry_run else "RECOVERY_ARCHIVE_DELETED"
     allowed = [v for v in verdicts if v.refused_by is None]
     if allowed and not dry_run:
+        wanted = local_frame(
+            store.spark, [(v.table_id, v.year) for v in allowed], "table_id STRING, year INT"
+        )
         last = {
             (r.table_id, r.year): r
-            for r in store.latest().collect()
+            for r in store.latest().join(wanted, ["table_id", "year"], "left_semi").collect()
         }
         rows, events = [], []
         for v in allowed:
