@@ -231,11 +231,11 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         raise ValueError("anchor_words must be in 1..k, at most 200 words shorter")
     texts = keyed(docs).withColumn("th", F.hash("text"))
     runs = texts.select("did", "th", "text").mapInArrow(_anchors(k, anchor_words), _ANCHORS)
-    # One anchor per hash: a count and minima, combined before the shuffle.
-    seen = runs.groupBy("h").agg(
-        F.count("*").alias("n"), F.min("did").alias("d0"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")
+    # One row per anchor: a count and minima, combined before the shuffle.
+    seen = unique_lookup(
+        runs, ["h"], F.count("*").alias("n"), F.min("did").alias("d0"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")
     ).where("n > 1")
-    seen = unique_lookup(seen, ["h"], F.min("d0").alias("d0"), F.max(F.col("c0") != F.col("c1")).alias("branching"))
+    seen = seen.select("h", "d0", (F.col("c0") != F.col("c1")).alias("branching"))
     leads = F.col("first") & (F.col("did") == F.col("d0"))
     marked = (
         runs.select("h", "did", "th", "run", "first")
@@ -252,8 +252,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         "passages",
     )
     edges = parts.where("edges IS NOT NULL").select("did", "th", F.explode("edges").alias("e")).select("did", "th", "e.*")
-    twice = edges.groupBy("w", "c").agg(F.count("*").alias("n"), F.min("did").alias("d0")).where("n > 1")
-    twice = unique_lookup(twice, ["w", "c"], F.min("d0").alias("d0"))
+    twice = unique_lookup(edges, ["w", "c"], F.count("*").alias("n"), F.min("did").alias("d0")).where("n > 1").drop("n")
     gone = (
         edges.join(twice, ["w", "c"])
         .where(~F.col("first") | (F.col("did") > F.col("d0")))
