@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, packing, simhash, substring_dedup, token_counts, toxicity
+from . import decontamination, nearest, packing, pii, secrets, simhash, substring_dedup, token_counts, toxicity, warc, warc_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_warc_derivatives", warc_sql.SQL)
+def op1(spark, sf_dir):
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), "page_id")
+
+
 @query("op2_benchmark_leaks")
 def op2(spark, sf_dir):
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -66,11 +71,27 @@ def op5(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_hash_prefix_forest")
+def op6(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 @query("op7_vector_best_fit")
 def op7(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), packing.Capacity(tokens=2048))
 
 
+@query("op8_crf_pii")
+def op8(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query("op9_length_histogram")
 def op9(spark, sf_dir):
     return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
+@query("op10_secret_scans")
+def op10(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
