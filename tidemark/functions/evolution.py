@@ -8,7 +8,6 @@ off, only an unchanged schema or a missing column passes.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -85,16 +84,20 @@ def reconciled(
     return T.StructType(fields)
 
 
-def common(schemas: list[T.StructType]) -> T.StructType:
-    """The schema under which files of all these schemas can be read together."""
+def _widest(a: T.DataType, b: T.DataType) -> T.DataType:
+    kind = _kind(a, b)
+    if kind == "refused":
+        raise SchemaDrift(f"{a.simpleString()} and {b.simpleString()} cannot be read as one column")
+    return b if kind == "widened" else a
 
-    def both(a: T.StructType, b: T.StructType) -> T.StructType:
-        try:
-            return reconciled(a, b)
-        except SchemaDrift:
-            return reconciled(b, a)
 
-    return reduce(both, schemas)
+def common(schemas: list[T.StructType]) -> T.StructType:
+    """The schema under which files of all these schemas can be read: every column, at its widest."""
+    found: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema:
+            found[f.name] = _widest(found[f.name], f.dataType) if f.name in found else f.dataType
+    return T.StructType([T.StructField(name, dtype, True) for name, dtype in found.items()])
 
 
 def conform(rows: DataFrame, schema: T.StructType) -> DataFrame:

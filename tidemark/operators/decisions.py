@@ -18,13 +18,15 @@ def resolve(state: DataFrame, live: bool = False) -> DataFrame:
     """Add ``action``, ``reason`` and ``would_archive``.
 
     Needs: slice_state, last_status, delete_after, owned, wiped_since, high_water (audit
-    first, else the slice), kept_rows, new_rows, verify_failed. First match wins.
+    first, else the slice), kept_rows, new_rows, verify_failed; optionally empty_slice. First
+    match wins.
     """
     missing = F.col("slice_state") == MISSING
     valid = F.col("slice_state") == VALID
     last = F.coalesce(F.col("last_status"), F.lit("NONE"))
     deleted = last == "ARCHIVED_AND_DELETED"
     new = F.coalesce(F.col("new_rows"), F.lit(0)) > 0
+    empty = _yes("empty_slice") if "empty_slice" in state.columns else F.lit(False)
 
     verdict = (
         F.when(missing & deleted, _verdict("ERROR", "missing_folder_after_delete"))
@@ -35,6 +37,8 @@ def resolve(state: DataFrame, live: bool = False) -> DataFrame:
         .when(valid & _yes("wiped_since"), _verdict("CREATE"))
         .when(valid & (last == "ARCHIVED") & _yes("delete_after") & _yes("owned"), _verdict("RESUME_DELETE"))
         .when(missing, _verdict("CREATE"))
+        # a slice without a row has no position and needs none
+        .when(valid & empty & F.col("high_water").isNull(), _verdict("CREATE"))
         .when(F.col("high_water").isNull(), _verdict("ERROR", "cannot_determine_incremental_position"))
         .when(~new, _verdict("SKIP"))
     )

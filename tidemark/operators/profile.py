@@ -8,10 +8,12 @@ per task and year to shuffle, so a hot year costs nothing extra.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import rules as R
+from ..functions import rules as R, watermarks as W
 from ..sources.tables import Source
 
 
@@ -25,7 +27,10 @@ def eligible_years(source: Source, as_of: dt.date) -> DataFrame:
     )
 
 
-def _scope(source: Source, as_of: dt.date, eligible_only: bool) -> DataFrame:
+def _scope(source: Source, as_of: dt.date, eligible_only: bool, years: list[int] | None) -> DataFrame:
+    if years is not None:
+        runs = [source.in_years(a, b) for a, b in W.year_runs(int(y) for y in years)]
+        return source.rows.where(reduce(or_, runs, F.lit(False)))
     if not eligible_only:
         return source.rows
     # both branches reach the Parquet reader
@@ -39,13 +44,14 @@ def year_profile(
     as_of: dt.date,
     marks: DataFrame | None = None,
     eligible_only: bool = True,
+    years: list[int] | None = None,
 ) -> DataFrame:
     """Per year: total, kept, new and per-rule rows, and the window of the kept watermarks.
 
     ``marks`` is (slice_year, high_water), one row per calendar year, hence broadcast. The
-    row with a NULL year counts the rows that have no watermark.
+    row with a NULL year counts the rows that have no watermark. With ``years``, only these are read.
     """
-    rows = source.flagged(as_of, _scope(source, as_of, eligible_only))
+    rows = source.flagged(as_of, _scope(source, as_of, eligible_only, years))
     rows = rows.withColumn("_wm", source.instant())
     above: Column = F.lit(False)
     if marks is not None:

@@ -23,7 +23,7 @@ from ..operators import audit_state, decisions, profile
 from ..schemas import ddl
 from ..session import local_frame
 from ..sources.audit_log import AuditLog, dry_run_payload
-from ..sources.slices import MISSING, SliceStore
+from ..sources.slices import MISSING, SliceStore, check_name
 from ..sources.snapshots import DOOMED, Snapshot, without
 from ..sources.tables import Source
 
@@ -61,7 +61,7 @@ def known_slices(store: SliceStore, log: DataFrame, run_id: str, table_ids: list
 
 _STATE_DDL = (
     "slice_year INT, slice_state STRING, last_status STRING, high_water TIMESTAMP_NTZ, "
-    "owned BOOLEAN, wiped_since BOOLEAN, verify_failed BOOLEAN"
+    "owned BOOLEAN, wiped_since BOOLEAN, verify_failed BOOLEAN, row_count BIGINT"
 )
 
 
@@ -77,6 +77,8 @@ def _plan(source: Source, store: SliceStore, known: list[Row], as_of: dt.date, l
         counts.join(F.broadcast(state), "slice_year", "left")
         .withColumn("slice_state", F.coalesce("slice_state", F.lit(MISSING)))
         .withColumn("delete_after", F.lit(source.delete_after))
+        .withColumn("empty_slice", F.coalesce(F.col("row_count") == 0, F.lit(False)))
+        .drop("row_count")
     )
     return decisions.resolve(joined, live)
 
@@ -188,7 +190,17 @@ class _Job:
     error: Exception | None = None
     outcome: Outcome | None = None
 
-    def done(self, year: int, status: str, count: int = 0, **more) -> None:
+    def fail(self, exc: Exception) -> None:
+        """FAILED for the slices that were to be written or deleted; without a plan, one row without a year."""
+        queued = {*self.creates, *self.appends, *self.resumes}
+        self.error = exc
+        self.windows.clear()
+        self.versions.clear()
+        self.events = [e for e in self.events if e["year"] not in queued]
+        for year in sorted(queued) or ([] if self.planned else [None]):
+            self.done(year, "FAILED", error_message=str(exc))
+
+    def done(self, year: int | None, status: str, count: int = 0, **more) -> None:
         self.events.append(
             {"table_name": self.source.table_id, "year": year, "status": status, "record_count": count, **more}
         )
@@ -215,6 +227,7 @@ def archive_tables(
     ids = [s.table_id for s in sources]
     if len(set(ids)) != len(ids):
         raise ValueError("a table is listed twice")
+    check_name(run_id, *ids)
     log = audit.rows()
     known: dict[str, dict[int, Row]] = {i: {} for i in ids}
     for r in known_slices(store, log, run_id, ids).collect():
@@ -227,16 +240,7 @@ def archive_tables(
                 try:
                     step(job)
                 except Exception as exc:
-                    job.error = exc
-                    job.windows.clear()
-                    job.versions.clear()
-                    job.events = [
-                        {
-                            "table_name": job.source.table_id, "year": y, "status": "FAILED",
-                            "record_count": 0, "error_message": str(exc)[:2000],
-                        }
-                        for y in job.planned
-                    ]
+                    job.fail(exc)
 
         if len(jobs) == 1:
             guarded(jobs[0])
@@ -309,16 +313,18 @@ def _sort_out(job: _Job, busy: dict) -> None:
 def _write(job: _Job, store: SliceStore, run_id: str, as_of: dt.date, merge_schema: bool) -> None:
     """Write all years in one job, read them back, and prepare versions and audit rows."""
     source = job.source
-    schema = source.rows.schema
+    schemas = {y: source.rows.schema for y in job.creates}
     for y in list(job.appends):
-        try:
-            schema = evolution.reconciled(ddl(job.known[y].schema_ddl), schema, merge_schema)
+        try:  # each slice against the source, so that the order of slices decides nothing
+            schemas[y] = evolution.reconciled(ddl(job.known[y].schema_ddl), source.rows.schema, merge_schema)
         except evolution.SchemaDrift as exc:
             del job.appends[y]
             job.done(y, "FAILED", error_message=f"schema_drift: {exc}")
     expected = {y: job.planned[y].would_archive for y in [*job.creates, *job.appends]}
     got: dict[int, Row] = {}
+    path = None
     if any(expected.values()):
+        schema = evolution.common([source.rows.schema, *schemas.values()])
         rows = archivable(source, as_of, job.creates, job.appends)
         shaped = evolution.conform(
             rows, T.StructType(schema.fields + [T.StructField("slice_year", T.IntegerType())])
@@ -331,10 +337,10 @@ def _write(job: _Job, store: SliceStore, run_id: str, as_of: dt.date, merge_sche
         if n != want:
             job.done(y, "FAILED", error_message=f"verification_failed: expected {want}, wrote {n}")
             continue
-        _prepare(job, store, run_id, y, n, written, old, schema)
+        _prepare(job, run_id, y, n, written, old, schemas[y], path)
 
 
-def _prepare(job, store, run_id, year, n, written, old, schema) -> None:
+def _prepare(job, run_id, year, n, written, old, schema, path) -> None:
     source, planned = job.source, job.planned[year]
     base = old if year in job.appends else None
     version = old.version + 1 if old and old.version is not None else 0
@@ -346,7 +352,7 @@ def _prepare(job, store, run_id, year, n, written, old, schema) -> None:
             "version": version,
             "op": planned.action,
             "live_dirs": (list(base.live_dirs) if base else [])
-            + ([store.slice_dir(source.table_id, run_id, year)] if n else []),
+            + ([f"{path}/slice_year={year}"] if n else []),
             "row_count": n + (base.row_count if base else 0),
             "wm_lo": _least(base.wm_lo if base else None, written.wm_lo if written else None),
             "wm_hi": wm_hi,
@@ -412,12 +418,10 @@ def _verify_failed(source: Source, year: int, archive_count: int, source_count:
     }
 
 
-def doomed_rows(source: Source, as_of: dt.date, windows: dict, rows: DataFrame) -> DataFrame:
-    """``rows`` with a boolean ``_doomed``: kept rows inside a year's inclusive window."""
-    if not windows:
-        return rows.withColumn(DOOMED, F.lit(False))
+def window_bounds(source: Source, windows: dict) -> Column:
+    """Rows inside a year's inclusive window, as bounds on the raw column."""
     wm = W.col(source.watermark)
-    inside = reduce(
+    return reduce(
         or_,
         [
             source.in_years(y, y)
@@ -427,8 +431,13 @@ def doomed_rows(source: Source, as_of: dt.date, windows: dict, rows: DataFrame)
             for y, (lo, hi) in sorted(windows.items())
         ],
     )
+
+
+def doomed_rows(source: Source, as_of: dt.date, windows: dict, rows: DataFrame) -> DataFrame:
+    """``rows`` with a boolean ``_doomed``: kept rows inside a window."""
     flagged = source.flagged(as_of, rows)
-    return R.drop_flags(flagged.withColumn(DOOMED, inside & F.col(R.KEEP))).drop("slice_year")
+    doomed = window_bounds(source, windows) & F.col(R.KEEP)
+    return R.drop_flags(flagged.withColumn(DOOMED, doomed)).drop("slice_year")
 
 
 def delete_windows(
@@ -436,16 +445,21 @@ def delete_windows(
 ) -> Snapshot:
     """Publish the source without the rows of the given windows, rewriting only hit files.
 
-    Refused unless exactly ``expected`` rows, the ones the archive holds, would go.
+    Refused unless exactly ``expected`` rows, the ones the archive holds, would go. The store
+    remembers the snapshot before any audit row says that the rows are gone.
     """
-    path = f"{store.base}/source/{source.table_id}/run={run_id}"
-    return without(
-        store.spark,
-        Snapshot.of(source.rows),
+    path = store.fresh(f"{store.base}/source/{source.table_id}/run={run_id}")
+    old = source.snapshot or Snapshot(source.rows)
+    new = without(
+        old,
+        window_bounds(source, windows),
         lambda rows: doomed_rows(source, as_of, windows, rows),
         path,
         expected,
     )
+    if new is not old:
+        store.publish_delete(source.table_id, run_id, path)
+    return new
 
 
 # -- delete job -------------------------------------------------------------------------
@@ -464,7 +478,7 @@ def plan_delete(
     """Which archived years may leave the source: guard, eligibility, drift, in that order."""
     spark = store.spark
     log = _log_of(log, source)
-    counts = profile.year_profile(source, as_of, eligible_only=years is None).where("slice_year IS NOT NULL")
+    counts = profile.year_profile(source, as_of, years=years).where("slice_year IS NOT NULL")
     counted = counts.select("slice_year", F.col("kept_rows").alias("source_count"))
     if years is None:
         scope = counted
@@ -525,18 +539,14 @@ def delete_archived(
             if v.archive_count:
                 windows[y] = (slices[y].wm_lo, slices[y].wm_hi)
             p = prior.get(y)
-            origin = (
-                f"Originally archived by run {p.archive_run_id} at {p.archived_at}."
-                if p
-                else "Prior archive run not found in audit."
-            )
+            origin = f"slice written by run {p.archive_run_id} on {p.archived_at}" if p else "writer of the slice unknown"
             events.append(
                 {
                     "table_name": source.table_id,
                     "year": y,
                     "status": "ARCHIVED_AND_DELETED",
                     "record_count": v.source_count,
-                    "error_message": f"Deleted {v.source_count} rows from source. {origin}",
+                    "error_message": f"{v.source_count} source rows removed; {origin}",
                     "watermark_value": slices[y].wm_hi,
                     "archive_mode": "DELETE",
                 }

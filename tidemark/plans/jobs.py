@@ -21,11 +21,11 @@ from .archive import Outcome, archive_tables, delete_archived, dry_run
 
 
 def from_catalog(spark: SparkSession) -> Callable[[Row], DataFrame]:
-    """Source rows by name: catalogue table ``schema.table``, pinned to its current files."""
+    """Source rows by full name, in any format Spark reads by name; partition columns included."""
 
     def read(row: Row) -> DataFrame:
-        found = spark.table(f"`{row.source_schema}`.`{row.source_table}`")
-        return spark.read.schema(found.schema).parquet(*found.inputFiles())
+        parts = [row.source_catalog, row.source_schema, row.source_table]
+        return spark.table(".".join(f"`{p}`" for p in parts if p))
 
     return read
 
@@ -36,23 +36,31 @@ def sources(
     default_retention_years: int,
     default_timezone: str | None = None,
     read: Callable[[Row], DataFrame] | None = None,
+    store: SliceStore | None = None,
     **filters,
 ) -> list[Source]:
-    """Sources of the active config rows that match the filters of ``config.subset``."""
+    """Sources of the active config rows that match the filters of ``config.subset``.
+
+    With ``store``, rows that its deletes took out of a source are left out: give the store that the
+    jobs run against.
+    """
     chosen = C.subset(config, **filters)
-    broken = C.table_violations(chosen).take(5)
+    broken = C.table_violations(chosen).collect()  # of the configuration: a few rows per table
     if "exclusion_conditions" in config.columns:
-        broken += C.condition_violations(chosen).take(5)
+        broken += C.condition_violations(chosen).collect()
     if broken:
         raise C.ConfigError("; ".join(f"{b.table_id}: {b.violation}" for b in broken))
     rows = C.effective(chosen, default_retention_years, default_timezone).collect()
     if not rows and any(v is not None for v in filters.values()):
         raise C.ConfigError(f"no active table matches {filters}")
     read = read or from_catalog(spark)
-    return [
-        Source(
+
+    def source(r: Row) -> Source:
+        table = read(r)
+        snapshot = store.source_snapshot(r.table_id, table) if store else None
+        return Source(
             r.table_id,
-            read(r),
+            snapshot.read() if snapshot else table,
             r.watermark_column,
             r.retention_years,
             rules=tuple(Rule.of(c) for c in (r.exclusion_conditions or ())),
@@ -60,9 +68,10 @@ def sources(
             delete_after=bool(r.delete_after_archive),
             catalog=r.source_catalog,
             schema=r.source_schema,
+            snapshot=snapshot,
         )
-        for r in rows
-    ]
+
+    return [source(r) for r in rows]
 
 
 def run_archive(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..operators import gates
 from ..session import local_frame
 from ..sources.audit_log import AuditLog
-from ..sources.slices import SliceStore
+from ..sources.slices import SliceStore, safe_name
 
 KEPT = ("live_dirs", "row_count", "wm_lo", "wm_hi", "schema_ddl", "conditions")
 
@@ -19,7 +19,8 @@ def rollback(
 
     Returns one row per request: target_version, refused_by, and ``action`` when allowed.
     """
-    checked = gates.rollback_gates(requests, audit.rows(), store.states(), store.recoverable())
+    ids = _tables(requests)
+    checked = gates.rollback_gates(requests, audit.rows(), store.states(ids), store.recoverable(ids))
     verdicts = checked.collect()
     word = "WOULD_RECOVERY_ARCHIVE_ROLLED_BACK" if dry_run else "RECOVERY_ARCHIVE_ROLLED_BACK"
     allowed = [v for v in verdicts if v.refused_by is None]
@@ -72,7 +73,7 @@ def wipe(
     store: SliceStore, audit: AuditLog, requests: DataFrame, run_id: str, dry_run: bool = True
 ) -> DataFrame:
     """Empty slices whose source rows are still there; a later archive run refills them."""
-    checked = gates.wipe_gates(requests, audit.rows(), store.states(), live=not dry_run)
+    checked = gates.wipe_gates(requests, audit.rows(), store.states(_tables(requests)), live=not dry_run)
     verdicts = checked.collect()
     word = "WOULD_RECOVERY_ARCHIVE_DELETED" if dry_run else "RECOVERY_ARCHIVE_DELETED"
     allowed = [v for v in verdicts if v.refused_by is None]
@@ -116,6 +117,11 @@ def wipe(
     return _report(store, verdicts, word, "rows_deleted BIGINT", lambda v: v.row_count)
 
 
+def _tables(requests: DataFrame) -> list[str]:
+    """Tables an operator's list names; unsafe names, which no slice has, are left to the gates."""
+    return [r.table_id for r in requests.select("table_id").distinct().collect() if r.table_id and safe_name(r.table_id)]
+
+
 def _report(store: SliceStore, verdicts, word: str, extra_ddl: str, extra) -> DataFrame:
     data = [
         (v.table_id, v.year, extra(v), v.refused_by, word if v.refused_by is None else None)

@@ -65,11 +65,12 @@ def restore(
     Only VALID slices are available; others are skipped. No year at all is FAILED. Views
     are lazy: nothing is read until they are queried, and then only what the query needs.
     """
+    # One query for all years: their state, directories and schemas.
     valid = {
-        r.year
-        for r in store.states()
-        .where((F.col("table_id") == table_id) & (F.col("slice_state") == VALID))
-        .select("year")
+        r.year: r
+        for r in store.states([table_id])
+        .where((F.col("slice_state") == VALID) & F.col("year").isin([int(y) for y in years]))
+        .select("year", "live_dirs", "schema_ddl")
         .collect()
     }
     base = prefix + table_id.split(".")[-1]
@@ -77,7 +78,7 @@ def restore(
     error = None
     for y in years:
         if y in valid:
-            rows = store.read(table_id, [y]).drop("slice_year")
+            rows = store.rows_of(table_id, [valid[y]]).drop("slice_year")
             rows.createOrReplaceTempView(f"{base}_year_{y}")
             out.years[y] = rows
             out.views.append(f"{base}_year_{y}")

@@ -14,16 +14,30 @@ import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from ..functions import digest, evolution, watermarks as W
 from ..schemas import MANIFEST_DDL, ddl
 from ..session import local_frame
+from .snapshots import Snapshot
 from .tables import append_batch, read_or_empty
 
+_DELETES_DDL = "table_id STRING, run_id STRING, dir STRING, deleted_at TIMESTAMP"
 VALID, MISSING, ORPHAN = "VALID", "MISSING", "ORPHAN"
 
-_SLICE_FILE = re.compile(r"/data/([^/]+)/run=([^/]+)/slice_year=(-?\d+)/[^/]+$")
+_SLICE_FILE = r"(.*/data/([^/]+)/run=([^/]+)/slice_year=(-?\d+))/[^/]+$"
+_UNSAFE = re.compile(r"[/\\\[\]{}*?^,:%=#\x00-\x1f]|^[._]|^$")
+
+
+def safe_name(name: str) -> bool:
+    return not _UNSAFE.search(name)
+
+
+def check_name(*names: str) -> None:
+    """Refuse table and run ids that could not be a directory name or would act as a pattern."""
+    for name in names:
+        if not safe_name(name):
+            raise ValueError(f"{name!r} cannot name a table or run: it holds a sign that paths or patterns use")
 
 
 @dataclass(frozen=True)
@@ -53,10 +67,20 @@ class SliceStore:
         and pack small years together. Partitioning is by column value, so a task retried
         after a lost executor produces the same rows again.
         """
-        path = self.run_dir(table_id, run_id)
+        path = self.fresh(self.run_dir(table_id, run_id))
         rows.hint("rebalance", "slice_year").write.partitionBy("slice_year").parquet(path)
         return path
 
+    def fresh(self, path: str) -> str:
+        """``path``, or with an attempt number if an earlier attempt of the run left it behind."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        attempt, found = 1, path
+        while fs.exists(hadoop(found)):
+            attempt += 1
+            found = f"{path}.attempt-{attempt}"
+        return found
+
     def written(self, path: str, schema: T.StructType, watermark: str) -> DataFrame:
         """Per-year count and watermark window of what a run really wrote."""
         rows = self.spark.read.schema(_with_year(schema)).parquet(path)
@@ -79,11 +103,14 @@ class SliceStore:
         if years is not None:
             wanted = wanted.where(F.col("year").isin([int(y) for y in years]))
         found = wanted.select("schema_ddl", "live_dirs").collect()
-        schemas = [ddl(r.schema_ddl) for r in found if r.schema_ddl]
-        if not schemas:
+        if not any(r.schema_ddl for r in found):
             raise LookupError(f"no slice of {table_id} for years {years}")
-        schema = evolution.common(schemas)  # narrower and shorter files read fine under it
-        dirs = [d for r in found for d in r.live_dirs]
+        return self.rows_of(table_id, found)
+
+    def rows_of(self, table_id: str, versions: list[Row]) -> DataFrame:
+        """Rows of given version rows (schema_ddl, live_dirs) of one table."""
+        schema = evolution.common([ddl(r.schema_ddl) for r in versions if r.schema_ddl])
+        dirs = [d for r in versions for d in r.live_dirs]
         with_year = _with_year(schema)
         if not dirs:
             return self.spark.createDataFrame([], with_year)
@@ -91,7 +118,7 @@ class SliceStore:
             self.spark.read.schema(with_year)
             .option("basePath", self.table_dir(table_id))
             .parquet(*dirs)
-            .select(*with_year.names)
+            .select(*[F.col(f"`{n}`") for n in with_year.names])
         )
 
     def counts(self, table_id: str, years: list[int] | None = None) -> DataFrame:
@@ -107,9 +134,21 @@ class SliceStore:
         rows = self.read(table_id)
         names = [c for c in rows.columns if c != "slice_year"]
         return rows.groupBy("slice_year").agg(
-            F.count(F.lit(1)).alias("row_count"), digest.content_digest(names).alias("digest")
+            F.count(F.lit(1)).alias("row_count"), digest.content_digest(rows, names).alias("digest")
         )
 
+    # -- deletes from sources -----------------------------------------------------
+    def publish_delete(self, table_id: str, run_id: str, directory: str) -> None:
+        """Remember that a delete left the source of a table at ``directory``."""
+        row = [(table_id, run_id, directory, dt.datetime.now(dt.timezone.utc))]
+        append_batch(local_frame(self.spark, row, _DELETES_DDL).coalesce(1), f"{self.base}/source_deletes")
+
+    def source_snapshot(self, table_id: str, rows: DataFrame) -> Snapshot:
+        """The source ``rows`` without what this store's deletes took out of it; one row per delete is read."""
+        found = read_or_empty(self.spark, f"{self.base}/source_deletes", _DELETES_DDL)
+        done = found.where(F.col("table_id") == table_id).orderBy("deleted_at").select("dir").collect()
+        return Snapshot(rows, tuple(r.dir for r in done))
+
     # -- versions ----------------------------------------------------------------
     def versions(self) -> DataFrame:
         return read_or_empty(self.spark, self.versions_path, MANIFEST_DDL)
@@ -144,27 +183,33 @@ class SliceStore:
     def directories(self, table_ids: list[str] | None = None) -> DataFrame:
         """Slice directories that hold files: (table_id, run_id, year, dir).
 
-        Taken from Spark's file index, which lists in parallel and reads nothing; only the
-        directory names, years times runs, go further.
+        Spark's file index lists the tables asked for; paths are reduced to directories in Spark, and
+        nothing is read or collected.
         """
+        if table_ids is not None and not table_ids:
+            return self.spark.createDataFrame([], "table_id STRING, run_id STRING, year INT, dir STRING")
         which = "{" + ",".join(table_ids) + "}" if table_ids else "*"
-        found = sorted({m.groups() for m in map(_SLICE_FILE.search, self._files(f"{self.base}/data/{which}")) if m})
-        rows = [(t, run, int(y), self.slice_dir(t, run, int(y))) for t, run, y in found]
-        return local_frame(self.spark, rows, "table_id STRING, run_id STRING, year INT, dir STRING")
-
-    def _files(self, pattern: str) -> list[str]:
+        part = lambda i: F.regexp_extract("path", _SLICE_FILE, i)
         try:
             listed = (
                 self.spark.read.format("binaryFile")
                 .option("recursiveFileLookup", "true")
                 .option("pathGlobFilter", "*.parquet")
-                .load(pattern)
+                .load(f"{self.base}/data/{which}")
             )
         except AnalysisException as exc:
             if exc.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return self.spark.createDataFrame([], "table_id STRING, run_id STRING, year INT, dir STRING")
             raise
-        return listed.inputFiles()
+        return (
+            listed.where(part(1) != "")
+            .select(part(2).alias("table_id"), part(3).alias("run_id"), part(4).cast("int").alias("year"))
+            .distinct()
+            .withColumn(
+                "dir",
+                F.concat(F.lit(f"{self.base}/data/"), "table_id", F.lit("/run="), "run_id", F.lit("/slice_year="), F.col("year").cast("string")),
+            )
+        )
 
     def states(self, table_ids: list[str] | None = None) -> DataFrame:
         """Every known slice (of the given tables) with its state and newest version.
@@ -226,12 +271,14 @@ class SliceStore:
             ).alias("metadata"),
         )
 
-    def recoverable(self) -> DataFrame:
+    def recoverable(self, table_ids: list[str] | None = None) -> DataFrame:
         """Versions whose directories all still exist: the ones a rollback can reach."""
         v = self.versions().select("table_id", "year", "version", "live_dirs")
+        if table_ids is not None:
+            v = v.where(F.col("table_id").isin(table_ids))
         gone = (
             v.select("table_id", "year", "version", F.explode("live_dirs").alias("dir"))
-            .join(self.directories().select("dir"), "dir", "left_anti")
+            .join(self.directories(table_ids).select("dir"), "dir", "left_anti")
             .select("table_id", "year", "version")
             .distinct()
         )

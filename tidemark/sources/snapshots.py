@@ -1,75 +1,94 @@
-"""Source snapshots as file lists, and removal of rows by copy-on-write.
+"""Source snapshots: the table as it is read, minus what deletes took out of it.
 
-Parquet tables have no DELETE. A new snapshot re-uses every file that loses no row, drops
-files that lose all their rows, and rewrites only the files in between.
+Parquet tables have no DELETE. A delete writes two small tables into a directory of its own: the
+files it touched (``files``), and the rows of these files that stay (``rows``). A snapshot is the
+table and the list of such directories: rows of touched files are left out, and the rewritten ones
+are read instead. Files without a doomed row are read as before, partition columns
+included. File names stay in tables; only directory names, one per delete, reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 FILE = "_source_file"
 DOOMED = "_doomed"
+_FILES_DDL = "file STRING, n BIGINT, d BIGINT"
+MAX_BROADCAST_FILES = 1_000_000  # 64-bit hashes of file names: 16 MB
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    schema: T.StructType
-    files: tuple[str, ...]
+    """``rows`` as its own format reads it, and the directories of the deletes since, oldest first."""
 
-    @classmethod
-    def of(cls, rows: DataFrame) -> "Snapshot":
-        """Pin the files behind a DataFrame read from Parquet (no partition columns)."""
-        return cls(rows.schema, tuple(sorted(rows.inputFiles())))
+    rows: DataFrame
+    deletes: tuple[str, ...] = ()
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        if not self.files:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*self.files)
+    @property
+    def schema(self) -> T.StructType:
+        return self.rows.schema
+
+    def read(self, spark: SparkSession | None = None) -> DataFrame:
+        """The rows that are left."""
+        return self.with_files().drop(FILE) if self.deletes else self.rows
+
+    def with_files(self) -> DataFrame:
+        """The same with the file each row stands in."""
+        spark = self.rows.sparkSession
+        names = [F.col(f"`{c}`") for c in self.schema.names]
+
+        def located(df: DataFrame) -> DataFrame:
+            return df.select(*names, F.col("_metadata.file_path").alias(FILE))
+
+        out = located(self.rows)
+        if not self.deletes:
+            return out
+        for d in self.deletes:
+            out = out.unionByName(located(spark.read.schema(self.schema).parquet(f"{d}/rows")))
+        gone = spark.read.schema(_FILES_DDL).parquet(*[f"{d}/files" for d in self.deletes]).select("file")
+        return out.join(_small(gone, "file"), F.xxhash64(FILE) == F.col("_hash"), "left_anti")
+
+    def after(self, directory: str) -> "Snapshot":
+        return replace(self, deletes=(*self.deletes, directory))
+
+
+def _small(files: DataFrame, column: str) -> DataFrame:
+    """Hashes of file names; broadcast only while they are known to be few."""
+    hashes = files.select(F.xxhash64(column).alias("_hash")).distinct()
+    return F.broadcast(hashes) if hashes.count() <= MAX_BROADCAST_FILES else hashes
 
 
 def without(
-    spark: SparkSession,
     old: Snapshot,
+    inside: Column,
     mark: Callable[[DataFrame], DataFrame],
     path: str,
     expected: int | None = None,
 ) -> Snapshot:
-    """Publish ``old`` minus the rows that ``mark`` dooms.
+    """``old`` minus the rows that ``mark`` dooms, written to ``path``; nothing old is changed.
 
-    ``mark`` adds a boolean column ``_doomed`` to the rows it is given; NULL keeps a row.
-    With ``expected``, any other number of doomed rows is refused before anything is written.
-    The file names collected here are the same list Spark's own file index holds.
+    ``inside`` bounds the doomed rows by raw columns, so that it reaches the reader: only rows inside are
+    marked. ``mark`` adds a boolean ``_doomed`` to the rows it is given; NULL keeps a row. Files are counted by a scan
+    without data columns. With ``expected``, any other number of doomed rows is refused.
     """
+    spark = old.rows.sparkSession
+    if old.rows._jdf.queryExecution().optimizedPlan().children().nonEmpty():
+        raise ValueError("delete refused: the source rows must be a plain read of a table, without filter or projection")
     gone = F.coalesce(F.col(DOOMED), F.lit(False))
-    touched = (
-        mark(old.read(spark).withColumn(FILE, F.col("_metadata.file_path")))
-        .groupBy(FILE)
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(gone).alias("d"))
-        .where("d > 0")
-        .select(FILE, "d", (F.col("d") < F.col("n")).alias("mixed"))
-        .collect()
-    )
-    found = sum(r.d for r in touched)
+    located = old.with_files()
+    doomed = mark(located.where(inside)).where(gone).groupBy(FILE).agg(F.count(F.lit(1)).alias("d"))
+    total = located.groupBy(FILE).agg(F.count(F.lit(1)).alias("n"))
+    total.join(doomed, FILE).select(F.col(FILE).alias("file"), "n", "d").write.parquet(f"{path}/files")
+    touched = spark.read.schema(_FILES_DDL).parquet(f"{path}/files")
+    found = touched.agg(F.coalesce(F.sum("d"), F.lit(0))).first()[0]
     if expected is not None and found != expected:
         raise ValueError(f"delete refused: {expected} rows were archived, {found} would be removed")
-    if not touched:
+    if not found:
         return old
-    hit = {_plain(r[FILE]) for r in touched}
-    mixed = {_plain(r[FILE]) for r in touched if r.mixed}
-    kept = [f for f in old.files if _plain(f) not in hit]
-    if not mixed:
-        return Snapshot(old.schema, tuple(kept))
-    partly = Snapshot(old.schema, tuple(f for f in old.files if _plain(f) in mixed))
-    mark(partly.read(spark)).where(~gone).select(*old.schema.names).write.parquet(path)
-    fresh = spark.read.schema(old.schema).parquet(path).inputFiles()
-    return Snapshot(old.schema, tuple(sorted(kept + list(fresh))))
-
-
-def _plain(path: str) -> str:
-    """``file:/x`` and ``file:///x`` name the same file."""
-    scheme, sep, rest = path.partition(":")
-    return f"{scheme}:/{rest.lstrip('/')}" if sep else path
+    mixed = _small(touched.where("d < n"), "file")
+    left = located.join(mixed, F.xxhash64(FILE) == F.col("_hash"), "left_semi")
+    mark(left).where(~gone).select(*[F.col(f"`{c}`") for c in old.schema.names]).write.parquet(f"{path}/rows")
+    return old.after(path)

@@ -12,6 +12,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import rules as R, watermarks as W
+from .snapshots import Snapshot
+
+
+_RESERVED = re.compile(r"(?i)^(slice_year|high_water|_keep|_wm|_doomed|_source_file|_hash|_h1|_h2|_n|_key_\d+|_protected_\d+)$")
 
 
 @dataclass(frozen=True)
@@ -31,10 +35,14 @@ class Source:
     delete_after: bool = False
     catalog: str = ""
     schema: str = ""
+    snapshot: Snapshot | None = None  # where ``rows`` come from, if deletes have been published
     rule_list: tuple[R.Rule, ...] = field(init=False)
 
     def __post_init__(self):
         object.__setattr__(self, "rule_list", tuple(R.Rule.of(r) for r in self.rules))
+        taken = [c for c in self.rows.columns if _RESERVED.match(c)]
+        if taken:
+            raise ValueError(f"{self.table_id}: column names {taken} are used by the jobs themselves")
 
     def last_eligible_year(self, as_of: dt.date) -> int:
         return as_of.year - self.retention_years
@@ -91,7 +99,6 @@ def sizes(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", "*.parquet")
         .load(root)
         .select("path", "length")
-        .coalesce(64)  # else one task per file, for a few bytes of metadata each
     )
     plain_root = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
     below = F.substring_index("path", plain_root + "/", -1)
