@@ -4,14 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def content_digest(columns: Sequence[str]) -> Column:
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_has_map(f.dataType) for f in dtype)
+
+
+def hashable(rows: DataFrame, name: str) -> Column:
+    """A column as something that can be hashed: maps have no order, so their entries are sorted."""
+    dtype, c = rows.schema[name].dataType, F.col(f"`{name}`")
+    if not _has_map(dtype):
+        return c
+    if isinstance(dtype, T.MapType) and not _has_map(dtype.valueType):
+        return F.sort_array(F.map_entries(c))
+    return F.to_json(F.struct(c))
+
+
+def content_digest(rows: DataFrame, columns: Sequence[str]) -> Column:
     """Sum of row hashes as DECIMAL(38,0).
 
     A sum, not an XOR: equal pairs of rows must not cancel. Partial sums combine map-side,
     and DECIMAL(38,0) holds 10**19 rows even if all of them are equal.
     """
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    hashed = F.xxhash64(*[hashable(rows, c) for c in columns])
     return F.sum(hashed.cast("decimal(28,0)"))

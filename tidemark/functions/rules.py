@@ -19,6 +19,7 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import local_frame
 from .skew import unique_lookup
 from .watermarks import col
 
@@ -71,8 +72,28 @@ def _number(rule: Rule) -> Column:
     return F.lit(int(n)) if n == n.to_integral_value() else F.lit(n)
 
 
+_ITEM = re.compile(r"\s*(?:'((?:[^']|'')*)'|\"([^\"]*)\"|([^',\"()\s][^',\"()]*?))\s*(?:,|$)")
+
+
+def list_items(rule: Rule) -> list[str]:
+    """Values of a list written as text, quoted or not: ``'a', 'b'`` or ``1, 2``."""
+    text, at, out = rule.value.strip(), 0, []
+    while at < len(text):
+        m = _ITEM.match(text, at)
+        if not m:
+            raise RuleError(f"rule {rule.name!r}: cannot read the list {rule.value!r}")
+        out.append(m[1].replace("''", "'") if m[1] is not None else m[2] if m[2] is not None else m[3])
+        at = m.end()
+    if not out:
+        raise RuleError(f"rule {rule.name!r}: 'in' needs a list")
+    return out
+
+
 # EXISTS with a plain single-table-or-join subquery; anything cleverer is left as written.
-_PLAIN_EXISTS = re.compile(r"^\s*EXISTS\s*\(\s*SELECT\s+1\s+FROM\b", re.IGNORECASE)
+_PLAIN_EXISTS = re.compile(
+    r"^\s*(NOT\s+)?EXISTS\s*\(\s*SELECT\s+(?:1|\*|[\w.`]+(?:\s*,\s*[\w.`]+)*)\s+FROM\b", re.IGNORECASE
+)
+_PLAIN_IN = re.compile(r"\bIN\s*\(\s*SELECT\s+(?!DISTINCT\b)(?=[\w.`]+\s+FROM\b)", re.IGNORECASE)
 _NOT_PLAIN = re.compile(
     r"\b(GROUP|HAVING|LIMIT|OFFSET|UNION|INTERSECT|EXCEPT|MINUS|WITH|LATERAL|QUALIFY)\b",
     re.IGNORECASE,
@@ -80,16 +101,20 @@ _NOT_PLAIN = re.compile(
 
 
 def counted_exists(text: str) -> str:
-    """Rewrite ``EXISTS (SELECT 1 FROM t ...)`` as ``0 < (SELECT count(*) FROM t ...)``.
+    """Rewrite ``[NOT] EXISTS (SELECT ... FROM t ...)`` as a comparison of ``(SELECT count(*) FROM t ...)`` with 0,
+    and ``IN (SELECT c FROM t ...)`` as ``IN (SELECT DISTINCT c FROM t ...)``.
 
-    Both are true for the same rows. Catalyst turns the first, used as a flag, into an
+    Both forms are true, false and unknown for the same rows. Catalyst turns the first, used as a flag, into an
     existence join with every row of the referenced table. It turns the second into an
-    aggregate of that table by the correlated key, combined map-side, and then a join.
+    aggregate of that table by the key, combined map-side, and then a join, whatever the spelling.
     """
     single = len(re.findall(r"\bSELECT\b", text, re.IGNORECASE)) == 1
-    if single and _PLAIN_EXISTS.match(text) and not _NOT_PLAIN.search(text):
-        return _PLAIN_EXISTS.sub("0 < (SELECT count(*) FROM", text)
-    return text
+    if not single or _NOT_PLAIN.search(text):
+        return text
+    found = _PLAIN_EXISTS.match(text)
+    if found:
+        return ("0 = " if found[1] else "0 < ") + _PLAIN_EXISTS.sub("(SELECT count(*) FROM", text)
+    return _PLAIN_IN.sub("IN (SELECT DISTINCT ", text)
 
 
 _OUTER = re.compile(r"\{source_alias\}\s*\.\s*(?:`([^`]+)`|(\w+))")
@@ -145,7 +170,13 @@ def flag(rule: Rule, rows: DataFrame, as_of: dt.date, catalog: str = "", schema:
         raise RuleError(f"rule {rule.name!r}: no column {rule.column!r}") from exc
 
     def typed(value) -> Column:
-        return F.lit(str(value)).try_cast(dtype)
+        if value is None:
+            raise RuleError(f"rule {rule.name!r}: no value to compare {rule.column!r} with")
+        cast = F.lit(str(value)).try_cast(dtype)
+        # one local row, no job: a value of another type would protect every row without a word
+        if local_frame(rows.sparkSession, [(1,)], "one INT").select(cast.isNull()).first()[0]:
+            raise RuleError(f"rule {rule.name!r}: {value!r} is no {dtype.simpleString()}")
+        return cast
 
     op = rule.operator
     if op == "equals":
@@ -155,8 +186,8 @@ def flag(rule: Rule, rows: DataFrame, as_of: dt.date, catalog: str = "", schema:
     if op == "in":
         if isinstance(rule.value, (list, tuple)):
             return target.isin(*[typed(v) for v in rule.value])
-        if isinstance(rule.value, str):  # a ready SQL list, as stored in string configs
-            return F.expr(f"`{rule.column}` IN ({rule.value})")
+        if isinstance(rule.value, str):  # a written-out list, as stored in string configs
+            return target.isin(*[typed(v) for v in list_items(rule)])
         raise RuleError(f"rule {rule.name!r}: 'in' needs a list")
     if op == "within_years":  # a year counts 365 days here
         return target >= F.date_add(F.lit(as_of), -_whole(rule) * 365)

@@ -7,9 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from .. import archive, archive_tables, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
-from ..operators import decisions, profile, reports
-from ..plans.archive import archivable
-from ..functions import digest
+from ..operators import decisions, profile, reports, verification
 from ..sources.audit_log import PAYLOAD_DDL
 from ..sources.tables import Source
 from .base import (
@@ -314,20 +312,26 @@ def verify_counts(spark, d) -> DataFrame:
     return decisions.drift(written, profile.year_profile(source, AS_OF))
 
 
+# After the archive a price changes in 1996, and the rows of 1997 were never archived.
+ALTERED = "CASE WHEN year(o_orderdate) = 1996 AND o_orderkey % 40 = 0 THEN o_totalprice - 1 ELSE o_totalprice END"
+
+
 @query(
     "verify_fingerprint",
-    f"SELECT slice_year, count(*) AS row_count, count(*) AS source_rows, TRUE AS content_equal FROM ({ARCHIVED_SQL}) a GROUP BY 1",
+    f"""
+    WITH s AS (SELECT slice_year, count(*) AS n, count(*) FILTER (WHERE slice_year = 1996 AND o_orderkey % 40 = 0) AS altered
+               FROM ({ARCHIVED_SQL}) a GROUP BY 1)
+    SELECT slice_year, CASE WHEN slice_year <> 1997 THEN n END AS row_count, n AS source_rows,
+           slice_year <> 1997 AND altered = 0 AS content_equal FROM s
+    """,
 )
 def verify_fingerprint(spark, d) -> DataFrame:
-    store, _, source = archived_orders(spark, d)
-    rows = archivable(source, AS_OF, list(range(1995, LAST_YEAR + 1)), {})
-    wanted = rows.groupBy("slice_year").agg(
-        F.count(F.lit(1)).alias("source_rows"),
-        digest.content_digest(ORDER_COLUMNS).alias("source_digest"),
-    )
-    return store.fingerprints("orders").join(wanted, "slice_year").select(
-        "slice_year", "row_count", "source_rows", (F.col("digest") == F.col("source_digest")).alias("content_equal")
-    )
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    archive(orders_source(orders.where("year(o_orderdate) <> 1997")), store, log, "r1", AS_OF)
+    kept = orders.where("o_totalprice <= 200000 OR o_totalprice IS NULL")  # the change must not lift the protection
+    changed = kept.withColumn("o_totalprice", F.expr(ALTERED)).unionByName(orders.where("o_totalprice > 200000"))
+    return verification.verify(orders_source(changed), store, AS_OF)
 
 
 @query(
