@@ -360,3 +360,64 @@ def test_restore(spark, life, table):
     with pytest.raises(ValueError, match="column types differ"):
         tm.restore(store, audit, "db.t", [2018], live=df.withColumn("id", F.col("id").cast("bigint")))
     assert [r.status for r in audit.restores().orderBy("created_at").collect()] == ["PARTIAL_COMPLETED", "FAILED", "FAILED"]
+
+
+def test_partitioned_source_keeps_its_partition_columns(spark, life, tmp_path):
+    store, audit = life
+    days = [(i, "done" if i % 2 else None, dt.date(2018 + i % 3, 1, 1 + i % 9)) for i in range(60)]
+    for column in ("at", "status"):
+        path = f"{tmp_path}/by {column}"  # a blank in the path
+        spark.createDataFrame(days, "id INT, status STRING, at DATE").write.partitionBy(column).parquet(path)
+        df = spark.read.schema("id INT, status STRING, at DATE").parquet(path)
+        src = tm.Source(f"by_{column}", df, "at", 5, delete_after=True)
+        out = tm.archive(src, store, audit, f"nightly run {column}", AS_OF)
+        held = store.read(f"by_{column}").select("id", "status", "at")
+        assert sorted(map(tuple, held.collect()), key=str) == sorted(days, key=str)
+        assert out.source_after.read(spark).count() == 0
+        again = tm.archive(src, store, audit, "next run", AS_OF)
+        assert {e["status"] for e in again.years} == {"SKIPPED"}
+
+
+def test_delete_outlives_the_session_objects(life, table):
+    store, audit = life
+    df = table(BASE, DDL)
+    tm.archive(source(df, delete_after=True), store, audit, "r1", AS_OF)
+    snapshot = store.source_snapshot("db.t", df)
+    left = snapshot.read()
+    assert left.count() == len(BASE) - 70
+    src = source(left, snapshot=snapshot, delete_after=True)
+    assert {e["status"] for e in tm.archive(src, store, audit, "r2", AS_OF).years} <= {"SKIPPED"}
+
+
+def test_repeated_run_id_and_unsafe_names(life, table):
+    store, audit = life
+    first = table(rows(0, 2020, 5), DDL)
+    tm.archive(source(first), store, audit, "r1", AS_OF)
+    more = table(rows(0, 2020, 5) + rows(50, 2020, 3, month=9), DDL, name="b")
+    assert statuses(tm.archive(source(more), store, audit, "r1", AS_OF)) == {(2020, "ARCHIVED"): 3}
+    assert store.read("db.t").count() == 8
+    for bad in ("a/b", "", "x*", "{a,b}", "50%"):
+        with pytest.raises(ValueError):
+            tm.archive(source(first), store, audit, bad, AS_OF)
+    with pytest.raises(ValueError, match="used by the jobs"):
+        source(first.withColumn("slice_year", F.lit(1)))
+
+
+def test_only_the_slice_at_odds_is_refused(life, table):
+    """An old column of one slice decides nothing for another."""
+    store, audit = life
+    wide = table([(*r, "x") for r in rows(0, 2018, 3)], DDL + ", old STRING", name="a")
+    tm.archive(source(wide), store, audit, "r1", AS_OF)
+    tm.archive(source(table(rows(20, 2019, 3), DDL, name="b")), store, audit, "r2", AS_OF)
+    batch = rows(0, 2018, 3) + rows(40, 2018, 2, month=9) + rows(20, 2019, 3) + rows(60, 2019, 2, month=9)
+    out = tm.archive(source(table(batch, DDL, name="c")), store, audit, "r3", AS_OF)
+    assert statuses(out) == {(2018, "ARCHIVED"): 2, (2019, "ARCHIVED"): 2}
+    assert "old" not in store.read("db.t", [2019]).columns
+
+
+def test_a_failed_plan_leaves_a_row(life, table):
+    store, audit = life
+    bad = source(table(BASE, DDL), rules=(tm.Rule("r", "same_table", "id", "equals", "abc"),))
+    with pytest.raises(ValueError):
+        tm.archive(bad, store, audit, "r1", AS_OF)
+    assert [(r.year, r.status) for r in audit.rows().collect()] == [(None, "FAILED")]

@@ -117,3 +117,30 @@ def test_rule_algebra(spark, data, value, limit, spare):
         return None if None in (f1, f2, f3) else True
 
     assert [r["_keep"] for r in got] == [expected(s, a) for s, a in data]
+
+
+@pytest.mark.parametrize("operator,value", [("equals", "abc"), ("not_equals", None), ("in", ["1", "x"]), ("in", "1, x"), ("in", "1 2 (")])
+def test_a_value_of_another_type_is_refused(spark, operator, value):
+    df = spark.createDataFrame([(1,)], "n INT")
+    with pytest.raises(R.RuleError):
+        R.with_flags(df, [R.Rule("r", "same_table", "n", operator, value)], dt.date(2024, 1, 1))
+
+
+def test_written_lists():
+    read = lambda text: R.list_items(R.Rule("r", value=text))
+    assert read("'a', 'it''s', b ,\"c d\"") == ["a", "it's", "b", "c d"]
+    assert read("1, 2,3") == ["1", "2", "3"]
+
+
+@pytest.mark.parametrize("text,protected", [
+    ("EXISTS (SELECT * FROM seen s WHERE s.k = {source_alias}.k)", {1}),
+    ("NOT EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k)", {2, None}),
+    ("{source_alias}.k IN (SELECT k FROM seen)", {1}),
+    ("EXISTS (SELECT s.k FROM seen s WHERE s.k = {source_alias}.k)", {1}),
+])
+def test_every_spelling_is_aggregated_first(spark, text, protected):
+    spark.createDataFrame([(1,)] * 50 + [(7,)], "k INT").createOrReplaceTempView("seen")
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k INT")
+    out = R.with_flags(df, [R.Rule("r", "custom_sql", value=text)], dt.date(2024, 1, 1))
+    assert {r.k for r in out.where("_protected_0").collect()} == protected
+    assert "keys=[k" in out._jdf.queryExecution().optimizedPlan().toString() or "Aggregate [k" in out._jdf.queryExecution().optimizedPlan().toString()

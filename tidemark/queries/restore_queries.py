@@ -156,6 +156,21 @@ def evolve_widen(spark, d) -> DataFrame:
     return store.read("orders")
 
 
+@query("evolve_mixed", f"SELECT * FROM ({ARCHIVED_SQL}) a WHERE slice_year IN (1995, 1996, 1997)")
+def evolve_mixed(spark, d) -> DataFrame:
+    """Slices that are narrow in different columns, or hold an old one, are read together at the widest types."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    parts = {
+        1995: orders.withColumn("o_custkey", F.col("o_custkey").cast("int")),
+        1996: orders.withColumn("o_orderkey", F.col("o_orderkey").cast("int")),
+        1997: orders.withColumn("former", F.lit("x")),
+    }
+    for year, rows in parts.items():
+        archive(orders_source(rows.where(f"year(o_orderdate) = {year}")), store, log, f"r{year}", AS_OF)
+    return store.read("orders").drop("former")
+
+
 @query(
     "evolve_refuse",
     f"""

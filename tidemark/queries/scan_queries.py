@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import config, scan
 from ..session import workspace
 from ..sources import tables
-from .base import query, read
+from .base import TABLES, query, read
 from .configs import CATALOGUE, CONDITIONS_SQL, CONFIG, configs
 
 RUN = "scan_1"
@@ -173,9 +173,20 @@ def scan_summary(spark, d) -> DataFrame:
     return scan.run_scan(s.columns, s.sizes, s.existing, s.templates, RUN)["summary"]
 
 
-@query("table_size")
+@query(
+    "table_size",
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, TRUE AS has_size FROM {t}" for t in TABLES),
+)
 def table_size(spark, d) -> DataFrame:
-    return tables.sizes(spark, d)
+    """Sizes from file lengths, beside the number of rows of each table."""
+    counted = None
+    for name in TABLES:
+        one = spark.read.parquet(f"{d}/{name}.parquet").agg(F.count(F.lit(1)).alias("row_count"))
+        one = one.select(F.lit(name).alias("table_name"), "row_count")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted.join(tables.sizes(spark, d), "table_name", "left").select(
+        "table_name", "row_count", F.coalesce(F.col("size_gb") > 0, F.lit(False)).alias("has_size")
+    )
 
 
 @query(
@@ -207,6 +218,7 @@ def config_merge(spark, d) -> DataFrame:
     ).withColumn("n_conditions", F.when(F.col("n_conditions") >= 0, F.col("n_conditions")))
 
 
+SCANNED = ("sch_0", "sch_1")  # a scan of two of the schemas
 GONE = f"modified_by = 'scanner' AND source_schema IN ('sch_0', 'sch_1') AND p_partkey % 6 = 5"
 
 
@@ -223,7 +235,7 @@ GONE = f"modified_by = 'scanner' AND source_schema IN ('sch_0', 'sch_1') AND p_p
 def config_deactivate(spark, d) -> DataFrame:
     c = configs(spark, d)
     found = c.where("CAST(substr(source_table, 3) AS BIGINT) % 6 <> 5")
-    scanned = scan.templates_frame(spark, TEMPLATES[:2])
+    scanned = scan.templates_frame(spark, [t for t in TEMPLATES if t.source_schema in SCANNED])
     return scan.deactivate(c, found, scanned, RUN).select(
         "table_id", "is_active", "reason", "change_reason", "scan_run_id"
     )

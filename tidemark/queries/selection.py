@@ -126,6 +126,7 @@ OPERATORS = {
     "excl_equals": (STATUS_P, "status_n = 'P'"),
     "excl_not_equals": (Rule("r", "same_table", "status_n", "not_equals", "F"), "status_n <> 'F'"),
     "excl_in": (Rule("r", "same_table", "status_n", "in", ["O", "P"]), "status_n IN ('O', 'P')"),
+    "excl_in_text": (Rule("r", "same_table", "status_n", "in", "'O', P"), "status_n IN ('O', 'P')"),
     "excl_within_years": (
         Rule("r", "same_table", "wm", "within_years", 5), "wm >= DATE '2004-06-30' - INTERVAL 1825 DAY",
     ),

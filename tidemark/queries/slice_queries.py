@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from .. import archive, archive_tables, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
+from .. import archive, archive_tables, delete_archived, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
 from ..operators import decisions, profile, reports, verification
 from ..sources.audit_log import PAYLOAD_DDL
 from ..sources.tables import Source
@@ -367,6 +367,50 @@ def source_after_delete(spark, d) -> DataFrame:
     return archive(source, store, log, "r1", AS_OF).source_after.read(spark)
 
 
+def laid_out(spark, store, rows: DataFrame, name: str, column: str) -> DataFrame:
+    """The rows as a table partitioned by one of their columns."""
+    path = f"{store.base}/tables/{name}"
+    rows.write.partitionBy(column).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@query("archive_partitioned", ARCHIVED_SQL)
+def archive_partitioned(spark, d) -> DataFrame:
+    """A source partitioned by a column keeps that column's values."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    source = orders_source(laid_out(spark, store, orders, "orders", "o_orderstatus"))
+    archive(source, store, log, "r1", AS_OF)
+    return store.read("orders").select(*orders.columns, "slice_year")
+
+
+LEFT_SQL = f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders WHERE NOT (year(o_orderdate) <= {LAST_YEAR} AND {KEPT_SQL})"
+
+
+@query("delete_durable", LEFT_SQL)
+def delete_durable(spark, d) -> DataFrame:
+    """Rows that a delete took out stay out when the source is built anew."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    table = own_table(spark, store, orders, "orders")
+    archive(orders_source(table, delete_after=True), store, log, "r1", AS_OF)
+    return store.source_snapshot("orders", table).read().select(*ORDER_COLUMNS)
+
+
+@query(
+    "delete_live",
+    f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders WHERE NOT (year(o_orderdate) IN (1996, 1998) AND {KEPT_SQL})",
+)
+def delete_live(spark, d) -> DataFrame:
+    """The delete job, live, over two archived years."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    table = own_table(spark, store, orders, "orders")
+    archive(orders_source(table), store, log, "r1", AS_OF)
+    delete_archived(orders_source(table), store, log, "x1", AS_OF, [1996, 1998], dry_run=False)
+    return store.source_snapshot("orders", table).read().select(*ORDER_COLUMNS)
+
+
 @query(
     "resume_delete",
     f"""
