@@ -23,7 +23,7 @@ from .letters import chunks, fold_table
 Q = 8
 RATE = 0.1
 GROUP_BYTES = 8 << 20  # folded benchmark text in one broadcast; more items go in further groups
-_FILTER_BITS = 22
+_FILTER_BITS, _COUNTER_BITS = 22, 20
 _NAMES = ["doc_id", "item_id", "start", "end", "distance", "item_length"]
 _OUT = ", ".join(f"{n} long" for n in _NAMES)
 
@@ -56,6 +56,33 @@ def threshold(m: int, k: int, q: int) -> int:
     return m + 1 - q * (k + 1)
 
 
+def _positions(codes: np.ndarray) -> dict[int, int]:
+    """Per character a bit set of its places."""
+    out: dict[int, int] = {}
+    for i, c in enumerate(codes.tolist()):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _within(sets: dict[int, int], m: int, text: np.ndarray, k: int) -> bool:
+    """Whether some part of ``text`` is within k edits of the item (bit-parallel columns, Myers 1999)."""
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    up, down, score = full, 0, m
+    for c in text.tolist():
+        eq = sets.get(c, 0)
+        x = eq | down
+        d = ((((eq & up) + up) ^ up) | x) & full
+        rise = down | (full & ~(d | up))
+        fall = up & d
+        score += bool(rise & top) - bool(fall & top)
+        rise, fall = rise << 1 & full, fall << 1 & full
+        up = fall | (full & ~(d | rise))
+        down = rise & d
+        if score <= k:
+            return True
+    return False
+
+
 class _Items:
     """Folded items of one group: their q-grams as sorted hashes with item and position."""
 
@@ -85,42 +112,67 @@ class _Items:
         self.k = np.array(self.k, np.int64)
         self.longest = max(map(len, self.codes), default=0)
         self.need = np.array([threshold(len(c), k, q) for c, k in zip(self.codes, self.k)], np.int64)
+        slot = (self.h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self.h >> np.uint64(64 - _FILTER_BITS)] = True
+        self.filter[slot] = True
+        self.first = np.searchsorted(slot, np.arange((1 << _FILTER_BITS) + 1)).astype(np.int32)
+        self.owner, self.place = self.owner.astype(np.int32), self.place.astype(np.int32)
+        self.inverse = 1.0 / (self.k + 1)
+        self.sets = [_positions(c) for c in self.codes]
 
     def bands(self, text: np.ndarray, offsets: np.ndarray):
         """(row, item, least diagonal) of every band with enough hits; diagonals within the chunk."""
         g = combine(text.astype(np.uint64), self.q, 5)
-        at = np.flatnonzero(self.filter[g >> np.uint64(64 - _FILTER_BITS)])
-        lo = np.searchsorted(self.h, g[at])
-        n = np.searchsorted(self.h, g[at], "right") - lo
-        at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-        pick = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        slot = (g >> np.uint64(64 - _FILTER_BITS)).astype(np.int32)
+        at = np.flatnonzero(self.filter[slot]).astype(np.int32)
+        slot = slot[at]
+        lo = self.first[slot]
+        n = self.first[slot + 1] - lo
+        pick = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()), dtype=np.int32)
         pos = np.repeat(at, n)
+        same = self.h[pick] == g[pos]
+        if not same.all():
+            pick, pos = pick[same], pos[same]
         item = self.owner[pick]
-        diagonal = pos - self.place[pick]
-        row = np.searchsorted(offsets, pos, "right") - 1
         # A band starts every k + 1 diagonals and is 2k + 1 wide: a diagonal lies in at most two.
+        shifted = pos - self.place[pick] + self.longest  # none is negative
+        band = ((shifted + 0.5) * self.inverse[item]).astype(np.int32)
+        # Counters that several bands may share never count too little: most bands end here.
+        code = item * np.int32(40503) + band
+        mask = np.int32((1 << _COUNTER_BITS) - 1)
+        one, two = code & mask, (code - 1) & mask
+        counter = np.bincount(one, minlength=1 << _COUNTER_BITS)
+        counter += np.bincount(two, minlength=1 << _COUNTER_BITS)
+        need = self.need[item]
+        some = np.flatnonzero((counter[one] >= need) | (counter[two] >= need))
+        return self._counted(pos[some].astype(np.int64), item[some].astype(np.int64), shifted[some].astype(np.int64),
+                             band[some].astype(np.int64), offsets)
+
+    def _counted(self, pos, item, shifted, band, offsets):
+        row = np.searchsorted(offsets, pos, "right") - 1
         step = self.k[item] + 1
-        shifted = diagonal + self.longest  # none is negative
-        band = shifted // step
-        inside = (band >= 1) & (shifted - (band - 1) * step < 2 * self.k[item] + 1)
+        inside = (band >= 1) & (shifted - (band - 1) * step < 2 * step - 1)
         key = np.stack([np.concatenate([row, row[inside]]), np.concatenate([item, item[inside]]),
                         np.concatenate([band, band[inside] - 1])], 1)
         if not len(key):
             return []
-        # Hits of one document place count once per band.
-        place = np.concatenate([pos, pos[inside]])
-        order = np.lexsort((place, key[:, 2], key[:, 1], key[:, 0]))
-        key, place = key[order], place[order]
+        # Hits of one document place count once per band, and a match's hits lie on k + 1 diagonals.
+        place, diagonal = np.concatenate([pos, pos[inside]]), np.concatenate([shifted, shifted[inside]])
+        order = np.lexsort((diagonal, key[:, 2], key[:, 1], key[:, 0]))
+        key, place, diagonal = key[order], place[order], diagonal[order]
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]).any(1)
-        again = np.ones(len(key), bool)
-        again[1:] = fresh[1:] | (place[1:] != place[:-1])
         start = np.flatnonzero(fresh)
-        count = np.add.reduceat(again.astype(np.int64), start)
-        found = key[start][count >= self.need[key[start, 1]]]
-        return [(r, i, int(b * (self.k[i] + 1) - self.longest)) for r, i, b in found.tolist()]
+        out = []
+        for a, b in zip(start.tolist(), [*start[1:].tolist(), len(key)]):
+            r, i, band_ = key[a].tolist()
+            need, k = int(self.need[i]), int(self.k[i])
+            if b - a < need or len(np.unique(place[a:b])) < need:
+                continue
+            d = diagonal[a:b]
+            if (np.searchsorted(d, d + k, "right") - np.arange(b - a)).max() >= need:
+                out.append((r, i, band_ * (k + 1) - self.longest))
+        return out
 
     def verify(self, text: np.ndarray, item: int, diagonal: int):
         """(distance, start, end) of the best alignment of the item on this band, or None.
@@ -136,6 +188,8 @@ class _Items:
             at = part.find(plain, at + 1)
         if at >= 0:  # unchanged
             return 0, begin + at // codes.itemsize, begin + at // codes.itemsize + len(codes)
+        if not _within(self.sets[item], len(codes), text[max(0, diagonal - k) : diagonal + 3 * k + 1 + len(codes)], k):
+            return None
         first, width = diagonal - k, 4 * k + 1 + 2
         big = 1 << 40
         column = np.arange(width)
