@@ -1,7 +1,9 @@
 """Lifecycle of aged data in large Spark tables: archive, verify, delete, restore, recover."""
 
 from .functions.rules import Rule
-from .plans.archive import archive, archive_tables, delete_archived, dry_run, plan, plan_delete, work_plan
+from .plans.archive import archive, archive_tables, delete_archived, dry_run, dry_run_tables, plan, plan_delete, work_plan
+from .operators.reports import late_rows
+from .operators.verification import verify
 from .plans.recovery import rollback, wipe
 from .plans.restore import restore, unify
 from .sources.audit_log import AuditLog
@@ -19,11 +21,14 @@ __all__ = [
     "archive_tables",
     "delete_archived",
     "dry_run",
+    "dry_run_tables",
+    "late_rows",
     "plan",
     "plan_delete",
     "restore",
     "rollback",
     "unify",
+    "verify",
     "wipe",
     "work_plan",
 ]

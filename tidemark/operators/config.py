@@ -10,15 +10,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import rules as R
-from ..schemas import RULE_OPERATORS, RULE_TYPES
-
-REQUIRED = (
-    "source_catalog",
-    "source_schema",
-    "source_table",
-    "archive_base_path",
-    "table_id",
-    "watermark_column",
+from ..schemas import RULE_OPERATORS, RULE_TYPES, TABLE_CONFIG_DDL
+
+# What a table must say itself: the columns that name it and its place, but for inherited defaults.
+REQUIRED = tuple(
+    item.split()[0]
+    for item in TABLE_CONFIG_DDL.partition("delete_after_archive")[0].split(",")
+    if item.strip() and not item.strip().startswith("retention_years")
 )
 IDENTIFIER = r"^[A-Za-z_][A-Za-z0-9_]*$"
 

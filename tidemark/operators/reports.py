@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import rules as R, watermarks as W
 from ..functions.skew import unique_lookup
+from ..schemas import NO_PREVIOUS_RUN
+from ..session import local_frame
 from ..sources.audit_log import PAYLOAD_DDL
+from ..sources.slices import SliceStore
+from ..sources.tables import Source
 
 
 def dry_runs(log: DataFrame) -> DataFrame:
@@ -106,7 +115,7 @@ def drift(log: DataFrame, run_id: str | None = None) -> DataFrame:
             delta.alias("delta"),
             F.round(F.lit(100.0) * delta / F.nullif(before, F.lit(0)), 2).alias("delta_pct"),
             F.col("now.archive_run_id").alias("current_run"),
-            F.coalesce("before.archive_run_id", F.lit("(no previous run)")).alias("previous_run"),
+            F.coalesce("before.archive_run_id", F.lit(NO_PREVIOUS_RUN)).alias("previous_run"),
         )
         .orderBy(F.abs("delta").desc())
     )
@@ -169,3 +178,16 @@ def late_arrivals(source: DataFrame, archived: DataFrame, marks: DataFrame) -> D
     surplus = unique_lookup(counted, key, F.sum("_n").alias("_n")).where("_n > 0").drop("_n")
     suspects = have.join(surplus, key, "left_semi").unionByName(held.join(surplus, key, "left_semi"))
     return suspects.groupBy("slice_year", *columns).agg(F.sum("_n").alias("copies")).where("copies > 0")
+
+
+def late_rows(source: Source, store: SliceStore, as_of: dt.date) -> DataFrame:
+    """``late_arrivals`` of one table: reads the marked years only, without protected rows."""
+    marks = store.latest().where(F.col("table_id") == source.table_id).select(
+        F.col("year").alias("slice_year"), F.col("wm_hi").alias("high_water")
+    ).where("high_water IS NOT NULL")
+    marks = local_frame(store.spark, [tuple(r) for r in marks.collect()], "slice_year INT, high_water TIMESTAMP_NTZ")
+    years = [r.slice_year for r in marks.collect()]  # one per slice
+    marked = [source.in_years(a, b) for a, b in W.year_runs(years)]
+    rows = source.rows.where(reduce(or_, marked, F.lit(False)))
+    rows = source.flagged(as_of, rows).where(F.col(R.KEEP)).withColumn("_wm", source.instant())
+    return late_arrivals(rows, store.read(source.table_id, years), marks)

@@ -7,7 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..schemas import AMBIGUOUS_PREFIX, BELOW_SIZE_FORMAT, EXCLUDED_REASON, UNMATCHED_REASON
+from ..schemas import (
+    ADDED_TEXT, AMBIGUOUS_PREFIX, BELOW_SIZE_FORMAT, DROPPED_TEXT, EXCLUDED_REASON, INACTIVE_TEXT, UNMATCHED_REASON,
+    UPDATED_TEXT,
+)
 from ..session import local_frame
 
 TABLE = ("source_catalog", "source_schema", "source_table")
@@ -213,8 +216,8 @@ def merge(existing: DataFrame, staged: DataFrame, scan_run_id: str, force: bool
             value = F.when(inserted, "scanner").otherwise(F.col("old.modified_by"))
         elif name == "change_reason":
             value = (
-                F.when(inserted, f"added by scan {scan_run_id}")
-                .when(updated, f"updated by scan {scan_run_id}")
+                F.when(inserted, ADDED_TEXT % scan_run_id)
+                .when(updated, UPDATED_TEXT % scan_run_id)
                 .otherwise(F.col("old.change_reason"))
             )
         elif name == "scan_run_id":
@@ -240,8 +243,8 @@ def deactivate(config: DataFrame, staged: DataFrame, scanned: DataFrame, scan_ru
     )
     changes = {
         "is_active": F.lit(False),
-        "reason": F.lit(f"dropped: not found in scan {scan_run_id}"),
-        "change_reason": F.lit(f"marked inactive by scan {scan_run_id}"),
+        "reason": F.lit(DROPPED_TEXT % scan_run_id),
+        "change_reason": F.lit(INACTIVE_TEXT % scan_run_id),
         "scan_run_id": F.lit(scan_run_id),
     }
     return joined.select(

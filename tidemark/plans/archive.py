@@ -65,16 +65,23 @@ _STATE_DDL = (
 )
 
 
-def _plan(source: Source, store: SliceStore, known: list[Row], as_of: dt.date, live: bool) -> DataFrame:
+def _marks(store: SliceStore, known: list[Row]) -> DataFrame:
+    names = ddl(_STATE_DDL).names
+    return local_frame(store.spark, [tuple(k[n] for n in names) for k in known], _STATE_DDL)
+
+
+def _plan(
+    source: Source, store: SliceStore, known: list[Row], as_of: dt.date, live: bool, counts: DataFrame | None = None
+) -> DataFrame:
     """One row per eligible year: counts, state and the action; reads the source once.
 
     ``known`` has at most one row per calendar year of this table, hence the broadcast.
     """
-    names = ddl(_STATE_DDL).names
-    state = local_frame(store.spark, [tuple(k[n] for n in names) for k in known], _STATE_DDL)
-    counts = profile.year_profile(source, as_of, marks=state).where("slice_year IS NOT NULL")
+    state = _marks(store, known)
+    if counts is None:
+        counts = profile.year_profile(source, as_of, marks=state)
     joined = (
-        counts.join(F.broadcast(state), "slice_year", "left")
+        counts.where("slice_year IS NOT NULL").join(F.broadcast(state), "slice_year", "left")
         .withColumn("slice_state", F.coalesce("slice_state", F.lit(MISSING)))
         .withColumn("delete_after", F.lit(source.delete_after))
         .withColumn("empty_slice", F.coalesce(F.col("row_count") == 0, F.lit(False)))
@@ -96,23 +103,52 @@ def plan(
     return _plan(source, store, known, as_of, live)
 
 
+def dry_run_tables(
+    sources: list[Source], store: SliceStore, audit: AuditLog, run_id: str, as_of: dt.date, max_parallel: int = 4
+) -> list[DataFrame]:
+    """Plan without writing slices; record one DRY_RUN row per year, and NULL dates once.
+
+    One state query and one append for all tables. Each source is profiled once: the profile, one
+    row per year, is fetched, and the returned plans are made of it without a further scan.
+    """
+    ids = [s.table_id for s in sources]
+    check_name(run_id, *ids)
+    known: dict[str, list[Row]] = {i: [] for i in ids}
+    for r in known_slices(store, audit.rows(), run_id, ids).collect():
+        known[r.table_id].append(r)
+
+    def one(source: Source) -> tuple[DataFrame, DataFrame]:
+        counts = profile.year_profile(source, as_of, marks=_marks(store, known[source.table_id]))
+        counts = store.spark.createDataFrame(counts.collect(), counts.schema)
+        planned = _plan(source, store, known[source.table_id], as_of, False, counts).select(
+            "table_id",
+            "slice_year",
+            decisions.dry_run_action(F.col("action")).alias("action"),
+            "reason",
+            F.col("total_rows").alias("total_eligible"),
+            "would_archive",
+            F.when(F.col("action").isin("CREATE", "APPEND"), F.col("protected"))
+            .otherwise(F.create_map().cast("map<string,bigint>"))
+            .alias("per_condition_counts"),
+        )
+        nulls = counts.where("slice_year IS NULL").select("table_id", F.col("total_rows").alias("null_rows"))
+        return planned, dry_run_events(planned, nulls, run_id, audit.clock())
+
+    if len(sources) == 1:
+        made = [one(sources[0])]
+    else:
+        with ThreadPoolExecutor(max_parallel) as pool:
+            made = list(pool.map(inheritable_thread_target(store.spark)(one), sources))
+    if made:
+        audit.append(reduce(DataFrame.unionByName, [events for _, events in made]))
+    return [planned for planned, _ in made]
+
+
 def dry_run(
     source: Source, store: SliceStore, audit: AuditLog, run_id: str, as_of: dt.date
 ) -> DataFrame:
-    """Plan without writing slices; record one DRY_RUN row per year, and NULL dates once."""
-    planned = plan(source, store, audit.rows(), run_id, as_of).select(
-        "table_id",
-        "slice_year",
-        decisions.dry_run_action(F.col("action")).alias("action"),
-        "reason",
-        F.col("total_rows").alias("total_eligible"),
-        "would_archive",
-        F.when(F.col("action").isin("CREATE", "APPEND"), F.col("protected"))
-        .otherwise(F.create_map().cast("map<string,bigint>"))
-        .alias("per_condition_counts"),
-    )
-    audit.append(dry_run_events(planned, profile.null_watermarks(source), run_id, audit.clock()))
-    return planned
+    """``dry_run_tables`` for one table."""
+    return dry_run_tables([source], store, audit, run_id, as_of)[0]
 
 
 def dry_run_events(

@@ -17,7 +17,7 @@ from ..operators import config as C
 from ..sources.audit_log import AuditLog
 from ..sources.slices import SliceStore
 from ..sources.tables import Source
-from .archive import Outcome, archive_tables, delete_archived, dry_run
+from .archive import Outcome, archive_tables, delete_archived, dry_run_tables
 
 
 def from_catalog(spark: SparkSession) -> Callable[[Row], DataFrame]:
@@ -80,7 +80,7 @@ def run_archive(
     """Archive job; a dry run (the default) only plans and records."""
     run_id = run_id or str(uuid.uuid4())
     if is_dry:
-        return [dry_run(s, store, audit, run_id, as_of) for s in found]
+        return dry_run_tables(found, store, audit, run_id, as_of)
     return archive_tables(found, store, audit, run_id, as_of)
 
 

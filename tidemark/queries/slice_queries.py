@@ -451,12 +451,7 @@ def late_arrivals(spark, d) -> DataFrame:
     (orders,) = read(spark, d, "orders")
     store, log = lifecycle(spark)
     archive(orders_source(first_load(orders)), store, log, "r1", AS_OF)
-    source = orders_source(orders)
-    rows = source.flagged(AS_OF).where("_keep").withColumn("_wm", source.instant())
-    marks = store.latest().where("table_id = 'orders'").select(
-        F.col("year").alias("slice_year"), F.col("wm_hi").alias("high_water")
-    )
-    return reports.late_arrivals(rows, store.read("orders"), marks)
+    return reports.late_rows(orders_source(orders), store, AS_OF)
 
 
 # -- plans --------------------------------------------------------------------------------

@@ -45,6 +45,9 @@ MATCH_STATUSES = ("matched", "ambiguous", "unmatched", "excluded")
 UNMATCHED_REASON = "no date column matched — no pattern matched any column"
 AMBIGUOUS_PREFIX = "ambiguous date column: "
 BELOW_SIZE_FORMAT = "table size %.1f GB is below minimum threshold of %.1f GB"
+ADDED_TEXT, UPDATED_TEXT = "added by scan %s", "updated by scan %s"
+DROPPED_TEXT, INACTIVE_TEXT = "dropped: not found in scan %s", "marked inactive by scan %s"
+NO_PREVIOUS_RUN = "(no previous run)"
 EXCLUDED_REASON = "excluded by template exclude_tables"
 # --- end of fixed values ---
 
@@ -56,6 +59,7 @@ def ddl(text: str) -> T.StructType:
     return T.StructType.fromDDL(text)
 
 
+# --- Fixed values: columns of logs and configuration that users' tables already have ---
 # Watermarks are kept at microsecond precision, zone-free; zoned columns are stored as UTC.
 AUDIT_DDL = """
     audit_id STRING, archive_run_id STRING, table_name STRING, year INT, status STRING,
@@ -85,6 +89,8 @@ TABLE_CONFIG_DDL = f"""
     modified_by STRING, modified_at TIMESTAMP, change_reason STRING, scan_run_id STRING
 """
 
+# --- end of fixed values ---
+
 MANIFEST_DDL = """
     table_id STRING, year INT, version BIGINT, op STRING, live_dirs ARRAY<STRING>,
     row_count BIGINT, wm_lo TIMESTAMP_NTZ, wm_hi TIMESTAMP_NTZ, schema_ddl STRING,

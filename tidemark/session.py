@@ -25,11 +25,13 @@ def workspace(spark: SparkSession, label: str = "run") -> str:
     """A fresh directory that every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. A machine-local
-    folder is used only by a local master, and goes away with the process.
+    folder is used only by a local master. Either goes away with the driver.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
+        path = f"{shared.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
+        atexit.register(_remove, spark, path)
+        return path
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix=f"tidemark-{label}-")
@@ -37,6 +39,15 @@ def workspace(spark: SparkSession, label: str = "run") -> str:
     return folder
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Remove a shared workspace when the driver ends, if its session still lives."""
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+    except Exception:  # the JVM may be gone already
+        return
+
+
 def local_frame(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
     """A few driver rows (tuples in schema order) as a local relation, which costs no job."""
     if isinstance(schema, str):
