@@ -1,6 +1,6 @@
 """Secrets: candidate strings, filtered by a random forest. DataFrame functions only.
 
-A candidate is a run of 12 or more token characters with a digit. A random forest, trained from
+A candidate is a run of 12 or more token characters with a digit or a provider's prefix. A random forest, trained from
 labelled findings, removes false positives by length, character transitions, dictionary
 coverage, path and neighbouring words. The forest is turned into an expression, so a text is scanned where
 it stands: nothing is shuffled, and a text with many candidates is one row throughout.
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_.~-])(?=[A-Za-z+/_.~-]*[0-9])[A-Za-z0-9+/_.~-]{12,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_.~-])(?=[A-Za-z+/_.~-]*[0-9]|AKIA|gh[pousr]_|xox[abp]-|sk_live_)[A-Za-z0-9+/_.~-]{12,}"
 CONTEXT = 48
 MASK = "[SECRET]"
 MAX_FINDINGS = 20_000  # labelled findings that train the forest
@@ -223,8 +223,9 @@ def scan(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
 def mask(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     """``docs``, all rows and columns, with each secret in ``text`` replaced by ``[SECRET]``."""
     forest = forest or fit(labelled_findings(docs))
-    names = [c for c in docs.columns if c != "text"]
-    rows = _scored(docs, forest, *names, "text")
+    # Columns of any name travel as one struct.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = _scored(docs.select(whole, F.col("text")), forest, "_row")
     gone = F.transform("_hits", lambda x: x["i"])
     pieces = F.transform(
         F.sequence(F.lit(0), F.size("_parts") - 1),
@@ -233,5 +234,5 @@ def mask(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
             F.when(i == F.size("_found"), "").when(F.array_contains(gone, i), MASK).otherwise(F.get("_found", i)),
         ),
     )
-    text = F.when(F.size("_hits") > 0, F.array_join(pieces, "")).otherwise(F.col("text"))
-    return rows.select(*[text.alias("text") if c == "text" else c for c in docs.columns])
+    text = F.when(F.size("_hits") > 0, F.array_join(pieces, "")).otherwise(F.col("_row").getField("text"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns])
