@@ -9,11 +9,23 @@ from tidemark.session import workspace
 LAST = (1 << 63) - 1
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write once and read back, so that a lost executor costs no recomputation."""
-    path = workspace(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once and read back, so that a lost executor costs no recomputation.
+
+    The shuffle files of the write are removed when it ends: nothing reads them again.
+    """
+    spark = df.sparkSession
+    path = workspace(spark, label)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:

@@ -23,17 +23,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.skew import unique_lookup
-
 from .arrays import combine, mix, span_hashes, text_chunks, word_hashes, words
 from .storage import keyed, written
 
 ANCHOR_WORDS = 6
 _ANCHORS = "h long, ctx long, did long, th int, run long, first boolean"
 _PARTS = (
-    "doc_id long, did long, th int, n_words long, n_removed long, kept_sha256 string, kept string, text string, "
+    "doc_id long, did long, th int, n_words long, n_removed long, kept_sha256 string, kept string, packed binary, "
     "ranges array<int>, edges array<struct<w:long,c:int,pos:int,first:boolean>>"
 )
 _FINAL = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, ranges array<int>"
@@ -138,9 +137,10 @@ def _finish(text: bytes, begin, end, with_text: bool):
 
 
 def _expand(k: int, with_text: bool):
-    """Settle documents without branching runs; list the edges of the others."""
+    """Settle documents without branching runs; list the edges of the others, with the text compressed."""
 
     def go(batches):
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             out = []
             for doc_id, did, th, text, runs in zip(
@@ -170,7 +170,7 @@ def _expand(k: int, with_text: bool):
                         w.view(np.int64).tolist(), c.astype(np.uint32).view(np.int32).tolist(), at.tolist(), lead.tolist()
                     )
                 ]
-                out.append((doc_id, did, th, len(starts), None, None, None, text,
+                out.append((doc_id, did, th, len(starts), None, None, None, squeeze.compress(raw),
                             np.stack([lo, hi], 1).ravel().tolist(), edges))
             if out:
                 yield _batch(out, _PARTS_ARROW)
@@ -182,7 +182,7 @@ _RANGES = pa.list_(pa.int32())
 _PARTS_ARROW = pa.schema(
     [
         ("doc_id", pa.int64()), ("did", pa.int64()), ("th", pa.int32()), ("n_words", pa.int64()),
-        ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()), ("text", pa.string()),
+        ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()), ("packed", pa.binary()),
         ("ranges", _RANGES),
         ("edges", pa.list_(pa.struct([("w", pa.int64()), ("c", pa.int32()), ("pos", pa.int32()), ("first", pa.bool_())]))),
     ]
@@ -200,14 +200,15 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 
 def _settle(k: int, with_text: bool):
     def go(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for doc_id, text, ranges, gone in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "text", "ranges", "gone"))
+            for doc_id, packed, ranges, gone in zip(
+                *(batch.column(c).to_pylist() for c in ("doc_id", "packed", "ranges", "gone"))
             ):
                 pairs = np.array(ranges or [], np.int64).reshape(-1, 2)
                 single = np.array(gone or [], np.int64)
-                out.append((doc_id, *_finish((text or "").encode(), np.concatenate([pairs[:, 0], single]),
+                out.append((doc_id, *_finish(unpack.decompress(packed), np.concatenate([pairs[:, 0], single]),
                                              np.concatenate([pairs[:, 1], single + k]), with_text)))
             if out:
                 yield _batch(out, _FINAL_ARROW)
@@ -231,11 +232,15 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         raise ValueError("anchor_words must be in 1..k, at most 200 words shorter")
     texts = keyed(docs).withColumn("th", F.hash("text"))
     runs = texts.select("did", "th", "text").mapInArrow(_anchors(k, anchor_words), _ANCHORS)
-    # One row per anchor: a count and minima, combined before the shuffle.
-    seen = unique_lookup(
-        runs, ["h"], F.count("*").alias("n"), F.min("did").alias("d0"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")
-    ).where("n > 1")
-    seen = seen.select("h", "d0", (F.col("c0") != F.col("c1")).alias("branching"))
+    # One row per anchor: a count and minima, combined before the shuffle. What repeats is little; dealing it
+    # out anew leaves the join free to split a hot anchor.
+    seen = (
+        runs.groupBy("h")
+        .agg(F.count("*").alias("n"), F.min("did").alias("d0"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1"))
+        .where("n > 1")
+        .select("h", "d0", (F.col("c0") != F.col("c1")).alias("branching"))
+        .repartition(F.hash("h", "d0"))
+    )
     leads = F.col("first") & (F.col("did") == F.col("d0"))
     marked = (
         runs.select("h", "did", "th", "run", "first")
@@ -245,6 +250,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         .groupBy("did", "th")
         .agg(F.collect_list("run").alias("runs"))
     )
+    marked = written(marked, "runs")
     parts = written(
         texts.join(marked, ["did", "th"], "left")
         .select("doc_id", "did", "th", "text", "runs")
@@ -252,7 +258,10 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         "passages",
     )
     edges = parts.where("edges IS NOT NULL").select("did", "th", F.explode("edges").alias("e")).select("did", "th", "e.*")
-    twice = unique_lookup(edges, ["w", "c"], F.count("*").alias("n"), F.min("did").alias("d0")).where("n > 1").drop("n")
+    twice = (
+        edges.groupBy("w", "c").agg(F.count("*").alias("n"), F.min("did").alias("d0")).where("n > 1").drop("n")
+        .repartition(F.hash("w", "c", "d0"))
+    )
     gone = (
         edges.join(twice, ["w", "c"])
         .where(~F.col("first") | (F.col("did") > F.col("d0")))
@@ -261,9 +270,9 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
     )
     open_ = (
         parts.where("edges IS NOT NULL")
-        .select("doc_id", "did", "th", "text", "ranges")
+        .select("doc_id", "did", "th", "packed", "ranges")
         .join(gone, ["did", "th"], "left")
-        .select("doc_id", "text", "ranges", "gone")
+        .select("doc_id", "packed", "ranges", "gone")
         .mapInArrow(_settle(k, with_text), _FINAL)
     )
     closed = parts.where("edges IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept", "ranges")
