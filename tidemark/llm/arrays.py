@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20  # bytes of text held as arrays at once; a longer text makes a chunk of its own
+CHUNK = 1 << 20  # bytes of text held as arrays at once; a longer text makes a chunk of its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -18,7 +18,7 @@ from .arrays import span_hashes
 
 DEFAULT = "byte_bpe_50k.json"
 CACHE = 1 << 19  # pieces remembered by a task; then it starts afresh
-_CHUNK = 1 << 20  # code points held as arrays at once
+_CHUNK = 1 << 19  # code points held as arrays at once
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNSETTLED = range(5)
 _APOSTROPHE = ord("'")
 

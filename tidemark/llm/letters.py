@@ -10,7 +10,7 @@ import numpy as np
 
 from .arrays import edges, span_hashes
 
-_CHUNK = 1 << 20  # code points held at once; a longer text makes a chunk of its own
+_CHUNK = 1 << 19  # code points held at once; a longer text makes a chunk of its own
 
 
 @lru_cache(maxsize=2)
