@@ -277,10 +277,13 @@ def _label(batches):
 def labelled_runs(docs: DataFrame, texts: int = TRAIN_DOCS, most: int = TRAIN_RUNS) -> DataFrame:
     """A labelled table (tokens, labels) of at most ``most`` runs from at most ``texts`` texts.
 
-    The texts with a digit or @ whose hash is least; distinct runs, those with personal data first.
+    The distinct texts with a digit or @ whose hash is least; distinct runs, those with personal data first.
+    Hashes alone are ranked; then only the texts below the last of them are shuffled.
     """
-    text = F.col("text").cast("string").alias("text")
-    some = docs.select(text).where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("text"), "text").limit(texts)
+    active = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
+    hashed = active.withColumn("h", F.xxhash64("text"))
+    last = hashed.select("h").distinct().orderBy("h").limit(texts).agg(F.max("h")).first()[0]
+    some = hashed.where(F.col("h") <= F.lit(last).cast("long")).groupBy("h").agg(F.min("text").alias("text")).select("text")
     return (
         some.mapInArrow(_label, "tokens array<string>, labels array<byte>").distinct()
         .orderBy((F.array_max("labels") == 0), F.xxhash64("tokens"), "tokens").limit(most)
