@@ -50,9 +50,8 @@ def unescape(text: Column) -> Column:
 def plain_text(html: Column) -> Column:
     """Visible text: hidden elements, comments and tags out, one line per block, blanks collapsed."""
     out = F.regexp_replace(html, "(?s)<!--.*?-->", "")
-    for tag in HIDDEN:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "\n")
-    out = F.regexp_replace(out, rf"\s+", " ")
+    out = F.regexp_replace(out, rf"(?is)<({'|'.join(HIDDEN)})\b[^>]*>.*?</\1\s*>", "\n")
+    out = F.regexp_replace(out, r"[\n\r]+", " ")  # other blanks are collapsed at the end
     out = F.regexp_replace(out, rf"(?i)</?(?:{BLOCKS})\b[^>]*>", "\n")
     out = F.regexp_replace(out, r"<[A-Za-z/!?][^>]*>", "")
     return _tidy(unescape(out))
