@@ -17,6 +17,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_.~-])(?=[A-Za-z+/_.~-]*[0-9]|AKIA|gh[pousr]_|xox[
 CONTEXT = 48
 MASK = "[SECRET]"
 MAX_FINDINGS = 20_000  # labelled findings that train the forest
+LEAST_ROWS = 64  # of each label that a tree samples from
 TREES, DEPTH = 15, 5
 _BLOCK = 64
 # Words of the dictionary feature, and those next to credentials or to harmless strings.
@@ -120,17 +121,20 @@ def labelled_findings(docs: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
 
     Without reviewed findings of its own, the label follows rules: 1 for a string in a provider's fixed
     format or assigned to a name of a credential and with more than one class of characters, else 0.
-    Distinct by value and context; those whose hash is least.
+    Each label has half of the bound for itself, however rare it is: its findings are dealt by a hash of value
+    and context into ``most / 2`` buckets, and the least hash of each bucket stays. A finding that is alone stays.
     """
     found = candidates(docs).where("_cands IS NOT NULL").select(F.explode("_cands").alias("c")).select("c.*")
     secret = (F.col("provider") == 1) | (
         F.col("left").rlike(ASSIGNED) & (F.col("digits") < 1) & (F.col("digits") > 0) & (F.col("dots") == 0) & (F.col("slashes") == 0)
     )
-    return (
-        found.select("value", "left", "right", *FEATURES, secret.cast("double").alias("label"))
-        .distinct()
-        .orderBy(F.xxhash64("value", "left", "right"), "value", "left", "right")
-        .limit(most)
+    found = found.select("value", "left", "right", secret.cast("double").alias("label"))
+    h = F.xxhash64("value", "left", "right")
+    least = found.groupBy("label", F.pmod(h, F.lit(max(1, most // 2))).alias("bucket")).agg(
+        F.min(F.struct(h.alias("h"), "value", "left", "right")).alias("f")
+    )
+    return least.select("label", "f.value", "f.left", "f.right").select(
+        "value", "left", "right", *_features(F.col("value"), F.col("left"), F.col("right")), "label"
     )
 
 
@@ -175,17 +179,26 @@ def _parse(text: str):
 
 
 def fit(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Forest:
-    """Train on findings (the features and ``label`` 0 or 1); with labels of one kind only, that label."""
+    """Train on findings (the features and ``label`` 0 or 1); with labels of one kind only, that label.
+
+    Both labels weigh the same, and a label of few rows is repeated, so that every tree's sample holds it.
+    """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(findings.select(*FEATURES, "label"))
     rows = rows.select("features", "label").coalesce(1).cache()  # at most MAX_FINDINGS rows
     try:
-        kinds = [r[0] for r in rows.select("label").distinct().collect()]
+        kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
         if len(kinds) < 2:
-            return Forest((float(kinds[0]),) if kinds else (0.0,))
-        model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=10).fit(rows)
+            return Forest((float(next(iter(kinds))),) if kinds else (0.0,))
+        times = {k: -(-LEAST_ROWS // n) for k, n in kinds.items()}
+        one = lambda of: F.when(F.col("label") == 1, of(1.0)).otherwise(of(0.0))
+        weighted = rows.select(
+            "features", "label", one(lambda k: F.lit(max(kinds.values()) / (kinds[k] * times[k]))).alias("weight"),
+            F.explode(F.sequence(F.lit(1), one(lambda k: F.lit(times[k])))).alias("_time"),
+        )
+        model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=10, weightCol="weight").fit(weighted)
         return Forest(tuple(_parse(t.toDebugString) for t in model.trees))
     finally:
         rows.unpersist()
