@@ -1,6 +1,7 @@
 """Secrets: candidate strings, filtered by a random forest. DataFrame functions only.
 
-A candidate is a run of 12 or more token characters with a digit or a provider's prefix. A random forest, trained from
+A candidate is a provider's key, a value of 8 or more signs assigned to the name of a credential, or a run of 12 or
+more token characters with a digit or a provider's prefix, without the punctuation at its end. A random forest, trained from
 labelled findings, removes false positives by length, character transitions, dictionary
 coverage, path and neighbouring words. The forest is turned into an expression, so a text is scanned where
 it stands: nothing is shuffled, and a text with many candidates is one row throughout.
@@ -13,7 +14,38 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_.~-])(?=[A-Za-z+/_.~-]*[0-9]|AKIA|gh[pousr]_|xox[abp]-|sk_live_)[A-Za-z0-9+/_.~-]{12,}"
+PROVIDER = (
+    r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{9,}[A-Za-z0-9]|sk_live_[A-Za-z0-9]{16,}"
+    r"|eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,})(?![A-Za-z0-9])"
+)
+
+
+def _assigned() -> str:
+    """Values of 8 or more signs of any kind behind the name of a credential.
+
+    Lookbehinds of one width each: only these mean the same in every regular expression engine.
+    """
+    names = {n: len(n) for n in "password passwords passwd passphrase pwd secret secrets token apikey accesskey privatekey secretkey auth credential credentials".split()}
+    names |= {f"{n}[ _-]key": len(n) + 4 for n in ("api", "access", "private", "secret")}
+    separators = {"[:=]": 1, "[:=][ \"']": 2, "[\"'][:=]": 2, " [:=]": 2, "[:=] [\"']": 3, "[\"']: ": 3, "[\"'][:=][\"']": 3, " [:=] ": 3,
+                  " is ": 4, "[\"']: [\"']": 4, " [:=] [\"']": 4, " is [\"']": 5}
+    by_width = {}
+    for name, n in names.items():
+        for sep, k in separators.items():
+            by_width.setdefault(n + k, {}).setdefault(sep, []).append(name)
+    behind = "|".join(
+        "(?<=" + "|".join(f"(?i:{'|'.join(own)}){sep}" for sep, own in found.items()) + ")" for _, found in sorted(by_width.items())
+    )
+    sign, stop = r"[^ \t\n\r\f\x0b\"'<>]", r"[.,;:?)\]}]*(?![^ \t\n\r\f\x0b\"'<>])"
+    return rf"(?<=[:= \"'])(?:{behind})(?:[^\"'\n]{{8,128}}(?=[\"'])(?<=[^ ])|{sign}{{8,}}?(?=[,;&][A-Za-z_]+[=:]|{stop}))"
+
+
+# A provider's key wherever it stands in a run; an assigned value; a run of token characters without a key in it.
+CANDIDATE = (
+    rf"{PROVIDER}|{_assigned()}|"
+    r"(?<![A-Za-z0-9+/_.~-])(?=[A-Za-z+/_.~-]*[0-9]|AKIA|gh[pousr]_|xox[abp]-|sk_live_)(?=[A-Za-z0-9+/_.~-]{12})"
+    rf"(?![A-Za-z0-9+/_.~-]*{PROVIDER})[A-Za-z0-9+/_.~-]{{11,}}[A-Za-z0-9+/_~]"
+)
 CONTEXT = 48
 MASK = "[SECRET]"
 MAX_FINDINGS = 20_000  # labelled findings that train the forest
@@ -29,7 +61,7 @@ DICTIONARY = (
 CREDENTIAL = r"(?:passw(?:or)?d|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth|bearer|credential)"
 HARMLESS = r"(?:commit|sha-?\d*|md5|checksum|digest|hash|uuid|isbn|doi|version|phone|tel|card|order|https?|www)"
 ASSIGNED = rf"(?i){CREDENTIAL}[A-Za-z_]{{0,16}}[\"']?\s*(?:[:=]|is)\s*[\"']?$"
-PROVIDER = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
+PLACE = r"^(?:[$%{(\[*]|(?:[A-Za-z]+:)?//|[.~]{1,2}/|/[a-z]+/[a-z])"  # a placeholder, an address or a path
 FEATURES = (
     "length", "digit_letter", "case", "digits", "upper", "hex", "distinct", "vowels", "dictionary", "slashes", "dots",
     "after_at", "assigned", "quoted", "credential", "harmless", "provider",
@@ -120,13 +152,16 @@ def labelled_findings(docs: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
     """A bounded table of findings with features and ``label``.
 
     Without reviewed findings of its own, the label follows rules: 1 for a string in a provider's fixed
-    format or assigned to a name of a credential and with more than one class of characters, else 0.
+    format or assigned to a name of a credential, with more than one class of characters and not a
+    placeholder, an address or a path, else 0.
     Each label has half of the bound for itself, however rare it is: its findings are dealt by a hash of value
     and context into ``most / 2`` buckets, and the least hash of each bucket stays. A finding that is alone stays.
     """
     found = candidates(docs).where("_cands IS NOT NULL").select(F.explode("_cands").alias("c")).select("c.*")
     secret = (F.col("provider") == 1) | (
-        F.col("left").rlike(ASSIGNED) & (F.col("digits") < 1) & (F.col("digits") > 0) & (F.col("dots") == 0) & (F.col("slashes") == 0)
+        F.col("left").rlike(ASSIGNED)
+        & (((F.col("digits") < 1) & (F.col("digits") > 0)) | F.col("value").rlike("[^A-Za-z0-9._/~: -]"))
+        & ~F.col("value").rlike(PLACE)
     )
     found = found.select("value", "left", "right", secret.cast("double").alias("label"))
     h = F.xxhash64("value", "left", "right")
