@@ -37,7 +37,7 @@ def _assigned() -> str:
         "(?<=" + "|".join(f"(?i:{'|'.join(own)}){sep}" for sep, own in found.items()) + ")" for _, found in sorted(by_width.items())
     )
     sign, stop = r"[^ \t\n\r\f\x0b\"'<>]", r"[.,;:?)\]}]*(?![^ \t\n\r\f\x0b\"'<>])"
-    return rf"(?<=[:= \"'])(?:{behind})(?:[^\"'\n]{{8,128}}(?=[\"'])(?<=[^ ])|{sign}{{8,}}?(?=[,;&][A-Za-z_]+[=:]|{stop}))"
+    return rf"(?:(?<=[:=])|(?<=[:=][ \"'])|(?<=[:=] [\"'])|(?<= is )|(?<= is [\"']))(?:{behind})(?:[^\"'\n]{{8,128}}(?=[\"'])(?<=[^ ])|{sign}{{8,}}?(?=[,;&][A-Za-z_]+[=:]|{stop}))"
 
 
 # A provider's key wherever it stands in a run; an assigned value; a run of token characters without a key in it.
