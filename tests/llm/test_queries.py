@@ -20,11 +20,11 @@ def test_query(spark, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontamination", "secrets", "packing"]
 
 
 def test_queries_take_whole_tables(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for name in ("op3_substring_dedup", "op4_simhash", "op5_toxicity", "op8_crf_pii"):
+    for name in ("op3_substring_dedup", "op4_simhash", "op5_toxicity", "op8_crf_pii", "op11_periodic_runs", "op12_sentencepiece", "op13_fill_in_middle"):
         assert QUERIES[name](spark, SF).count() == n
