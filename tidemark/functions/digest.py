@@ -25,6 +25,19 @@ def hashable(rows: DataFrame, name: str) -> Column:
     return F.to_json(F.struct(c))
 
 
+def row_hashes(rows: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row. The second is taken over a hash of each column: Spark's hash skips NULLs, and a
+    value that moved from one NULL column to another must not go unseen."""
+    values = [hashable(rows, c) for c in columns]
+    return F.xxhash64(*values), F.xxhash64(F.lit(len(values)), *[F.xxhash64(v) for v in values])
+
+
+def content_sums(rows: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
+    """Sums of both row hashes: equal for equal multisets of rows, and mergeable."""
+    first, second = row_hashes(rows, columns)
+    return F.sum(first.cast("decimal(28,0)")), F.sum(second.cast("decimal(28,0)"))
+
+
 def content_digest(rows: DataFrame, columns: Sequence[str]) -> Column:
     """Sum of row hashes as DECIMAL(38,0).
 

@@ -18,13 +18,13 @@ from operator import or_
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from ..functions import evolution, rules as R, watermarks as W
-from ..operators import audit_state, decisions, profile
+from ..functions import digest, evolution, rules as R, watermarks as W
+from ..operators import audit_state, decisions, profile, verification
 from ..schemas import ddl
 from ..session import local_frame
 from ..sources.audit_log import AuditLog, dry_run_payload
 from ..sources.slices import MISSING, SliceStore, check_name
-from ..sources.snapshots import DOOMED, Snapshot, without
+from ..sources.snapshots import DOOMED, Snapshot, doom, without
 from ..sources.tables import Source
 
 
@@ -358,6 +358,7 @@ def _write(job: _Job, store: SliceStore, run_id: str, as_of: dt.date, merge_sche
             job.done(y, "FAILED", error_message=f"schema_drift: {exc}")
     expected = {y: job.planned[y].would_archive for y in [*job.creates, *job.appends]}
     got: dict[int, Row] = {}
+    sent: dict[int, tuple[int, tuple]] = {}
     path = None
     if any(expected.values()):
         schema = evolution.common([source.rows.schema, *schemas.values()])
@@ -365,14 +366,17 @@ def _write(job: _Job, store: SliceStore, run_id: str, as_of: dt.date, merge_sche
         shaped = evolution.conform(
             rows, T.StructType(schema.fields + [T.StructField("slice_year", T.IntegerType())])
         )
-        path = store.write_rows(shaped, source.table_id, run_id)
-        got = {r.slice_year: r for r in store.written(path, schema, source.watermark).collect()}
+        path, sent = store.write_checked(shaped, source.table_id, run_id, sorted(expected))
+        got = {r.slice_year: r for r in store.written(path, schema, source.watermark, content=True).collect()}
     for y, want in sorted(expected.items()):
         written, old = got.get(y), job.known.get(y)
         n = written.row_count if written else 0
         if n != want:
             job.done(y, "FAILED", error_message=f"verification_failed: expected {want}, wrote {n}")
             continue
+        if n and sent[y] != (n, (written.sum_a, written.sum_b)):
+            job.done(y, "FAILED", error_message=f"verification_failed: the {n} rows read back are not the rows written")
+            continue
         _prepare(job, run_id, y, n, written, old, schemas[y], path)
 
 
@@ -436,12 +440,13 @@ def _delete(job: _Job, store: SliceStore, run_id: str, as_of: dt.date) -> None:
         )
     for e in fresh:
         job.events.append({**e, "status": "ARCHIVED_AND_DELETED", "conditions_applied": None})
-    if job.windows:
-        rows = sum(e["record_count"] for e in job.events if e["status"] == "ARCHIVED_AND_DELETED")
-        job.outcome.source_after = delete_windows(store, job.source, as_of, job.windows, run_id, rows)
+    job.events, job.outcome.source_after = delete_windows(store, job.source, as_of, job.windows, run_id, job.events)
 
 
-def _verify_failed(source: Source, year: int, archive_count: int, source_count: int) -> dict:
+def _verify_failed(
+    source: Source, year: int, archive_count: int, source_count: int, unproven: int | None = None
+) -> dict:
+    why = f"source has {source_count}" if unproven is None else f"{unproven} of {source_count} source rows are not among them"
     return {
         "table_name": source.table_id,
         "year": year,
@@ -449,7 +454,7 @@ def _verify_failed(source: Source, year: int, archive_count: int, source_count:
         "record_count": archive_count,
         "source_year_count": source_count,
         "error_message": f"{source.table_id} year {year}: archive holds {archive_count} rows, "
-        f"source has {source_count}; delete refused",
+        f"{why}; delete refused",
         "needs_review": True,
     }
 
@@ -473,29 +478,87 @@ def doomed_rows(source: Source, as_of: dt.date, windows: dict, rows: DataFrame)
     """``rows`` with a boolean ``_doomed``: kept rows inside a window."""
     flagged = source.flagged(as_of, rows)
     doomed = window_bounds(source, windows) & F.col(R.KEEP)
-    return R.drop_flags(flagged.withColumn(DOOMED, doomed)).drop("slice_year")
+    return R.drop_flags(flagged.withColumn(DOOMED, doomed))
 
 
 def delete_windows(
-    store: SliceStore, source: Source, as_of: dt.date, windows: dict, run_id: str, expected: int
-) -> Snapshot:
+    store: SliceStore, source: Source, as_of: dt.date, windows: dict, run_id: str, events: list[dict]
+) -> tuple[list[dict], Snapshot | None]:
     """Publish the source without the rows of the given windows, rewriting only hit files.
 
-    Refused unless exactly ``expected`` rows, the ones the archive holds, would go. The store
-    remembers the snapshot before any audit row says that the rows are gone.
+    ``events`` are the audit rows of the delete. Each doomed row must be in its slice: one scan of the
+    source gives counts and content sums per file and year, which are compared with those of the slices' rows
+    in the windows. A year that differs loses its window and becomes VERIFY_FAILED; the others are deleted, and the
+    number of rows must be the one the events state. The store remembers the snapshot before any audit row
+    says that the rows are gone.
     """
+    if not windows:
+        return events, None
     path = store.fresh(f"{store.base}/source/{source.table_id}/run={run_id}")
     old = source.snapshot or Snapshot(source.rows)
-    new = without(
-        old,
-        window_bounds(source, windows),
-        lambda rows: doomed_rows(source, as_of, windows, rows),
-        path,
-        expected,
+
+    def mark(chosen: dict) -> Callable[[DataFrame], DataFrame]:
+        return lambda rows: doomed_rows(source, as_of, chosen, rows)
+
+    slices = {
+        r.year: r for r in store.latest().where(F.col("table_id") == source.table_id).collect() if r.year in windows
+    }
+    shape = verification.shape_of(source.rows.schema, [ddl(r.schema_ddl) for r in slices.values() if r.schema_ddl])
+    doomed = doom(old, window_bounds(source, windows), mark(windows), shape, path)
+    held = _held(store, source, shape, slices, windows)
+    sums = ("sum_a", "sum_b")
+    would = {
+        r.slice_year: r
+        for r in doomed.groupBy("slice_year").agg(F.sum("d").alias("n"), *[F.sum(s).alias(s) for s in sums]).collect()
+    }
+    kept = held.groupBy("slice_year").agg(
+        F.count(F.lit(1)).alias("n"), *[s.alias(n) for s, n in zip(digest.content_sums(held, shape.names), sums)]
     )
+    proven = {r.slice_year: r for r in kept.collect()}
+    suspect = [y for y, r in would.items() if r != proven.get(y)]
+    if suspect:
+        events, windows = _refuse(source, as_of, old, shape, held, suspect, windows, would, proven, events, mark)
+        doomed = doomed.where(F.col("slice_year").isin(sorted(windows)))
+        if not windows:
+            return events, None
+    expected = sum(e["record_count"] for e in events if e["status"] == "ARCHIVED_AND_DELETED")
+    new = without(old, doomed, mark(windows), path, expected)
     if new is not old:
         store.publish_delete(source.table_id, run_id, path)
-    return new
+    return events, new
+
+
+def _held(store: SliceStore, source: Source, shape: T.StructType, slices: dict, windows: dict) -> DataFrame:
+    """Rows of the slices inside the windows, as ``shape`` with ``slice_year``."""
+    rows = store.rows_of(source.table_id, list(slices.values()))
+    at = W.instant(rows, source.watermark)
+    inside = [
+        (F.col("slice_year") == y) & at.between(*[F.lit(b.isoformat(sep=" ")).cast("timestamp_ntz") for b in windows[y]])
+        for y in sorted(slices)
+    ]
+    return evolution.conform(
+        rows.where(reduce(or_, inside, F.lit(False))),
+        T.StructType(shape.fields + [T.StructField("slice_year", T.IntegerType())]),
+    )
+
+
+def _refuse(source, as_of, old, shape, held, suspect, windows, would, proven, events, mark):
+    """Events and windows without the years that hold doomed rows their slice lacks, or that count differently."""
+    year = T.StructField("slice_year", T.IntegerType())
+    own = {y: windows[y] for y in suspect}
+    gone = F.coalesce(F.col(DOOMED), F.lit(False))
+    doomed = mark(own)(old.read().where(window_bounds(source, own))).where(gone)
+    lacking = verification.not_archived(
+        evolution.conform(doomed, T.StructType([*shape.fields, year])), held.where(F.col("slice_year").isin(suspect))
+    )
+    unproven = {r.slice_year: r.n for r in lacking.groupBy("slice_year").agg(F.sum("copies").alias("n")).collect()}
+    failed = {}
+    for y in suspect:
+        n, m = would[y].n, proven[y].n if y in proven else 0
+        if unproven.get(y) or n != m:
+            failed[y] = _verify_failed(source, y, m, n, unproven.get(y, 0) if n == m or unproven.get(y) else None)
+    events = [failed.get(e["year"], e) if e["status"] == "ARCHIVED_AND_DELETED" else e for e in events]
+    return events, {y: w for y, w in windows.items() if y not in failed}
 
 
 # -- delete job -------------------------------------------------------------------------
@@ -598,9 +661,7 @@ def delete_archived(
                     "needs_review": True,
                 }
             )
-    if windows:
-        rows = sum(e["record_count"] for e in events if e["status"] == "ARCHIVED_AND_DELETED")
-        out.source_after = delete_windows(store, source, as_of, windows, run_id, rows)
+    events, out.source_after = delete_windows(store, source, as_of, windows, run_id, events)
     audit.record(run_id, events)
     out.years = events
     return out

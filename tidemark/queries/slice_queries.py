@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import archive, archive_tables, delete_archived, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
 from ..operators import decisions, profile, reports, verification
 from ..sources.audit_log import PAYLOAD_DDL
+from ..sources.slices import SliceStore
 from ..sources.tables import Source
 from .base import (
     AS_OF, EVENTS_AS_OF, FIRST_LOAD_SQL, KEPT_SQL, LAST_YEAR, MIDDAY, ORDER_COLUMNS, ORDERS_N, RETURNED, Y,
@@ -334,6 +335,57 @@ def verify_fingerprint(spark, d) -> DataFrame:
     return verification.verify(orders_source(changed), store, AS_OF)
 
 
+class _Falsified(SliceStore):
+    """A store whose writer changes prices of 1996 on the way to disk; no count shows it."""
+
+    def _save(self, rows, path):
+        changed = F.expr("CASE WHEN slice_year = 1996 AND o_orderkey % 40 = 0 THEN o_totalprice - 1 ELSE o_totalprice END")
+        super()._save(rows.withColumn("o_totalprice", changed), path)
+
+
+@query(
+    "verify_written",
+    f"""
+    SELECT slice_year AS year, CASE WHEN altered > 0 THEN 'FAILED' ELSE 'ARCHIVED' END AS status,
+           CASE WHEN altered > 0 THEN 0 ELSE n END AS record_count
+    FROM (SELECT slice_year, count(*) AS n, count(*) FILTER (WHERE slice_year = 1996 AND o_orderkey % 40 = 0) AS altered
+          FROM ({ARCHIVED_SQL}) a GROUP BY 1) x
+    """,
+)
+def verify_written(spark, d) -> DataFrame:
+    """What is read back is compared with what the writing tasks saw; a slice that differs is not published."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    archive(orders_source(orders), _Falsified(spark, store.base), log, "r1", AS_OF)
+    return log.rows().where("status <> 'STARTED'").select("year", "status", "record_count")
+
+
+@query(
+    "delete_contained",
+    f"""
+    SELECT slice_year AS year, CASE WHEN altered > 0 THEN 'VERIFY_FAILED' ELSE 'ARCHIVED_AND_DELETED' END AS status, n AS record_count,
+           CASE WHEN altered > 0 THEN n ELSE 0 END AS left_in_source
+    FROM (SELECT slice_year, count(*) AS n, count(*) FILTER (WHERE slice_year = 1996 AND o_orderkey % 40 = 0) AS altered
+          FROM ({ARCHIVED_SQL}) a GROUP BY 1) x
+    """,
+)
+def delete_contained(spark, d) -> DataFrame:
+    """Prices of 1996 changed after the archive: the counts agree, and still nothing of that year is deleted."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    archive(orders_source(orders), store, log, "r1", AS_OF)
+    kept = F.expr("o_orderstatus <> 'P' AND NOT (o_totalprice > 200000)")
+    changed = orders.withColumn("o_totalprice", F.when(kept, F.expr(ALTERED)).otherwise(F.col("o_totalprice")))
+    source = orders_source(own_table(spark, store, changed, "orders"))
+    done = delete_archived(source, store, log, "x1", AS_OF, list(range(1990, LAST_YEAR + 1)), dry_run=False)
+    left = (done.source_after.read(spark) if done.source_after else source.rows).where(kept)
+    left = left.groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("left_in_source"))
+    return (
+        log.rows().where("status IN ('ARCHIVED_AND_DELETED', 'VERIFY_FAILED')").select("year", "status", "record_count")
+        .join(left, "year", "left").withColumn("left_in_source", F.coalesce("left_in_source", F.lit(0)))
+    )
+
+
 @query(
     "drift_check",
     f"""

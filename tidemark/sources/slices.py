@@ -13,14 +13,13 @@ import datetime as dt
 import re
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from ..functions import digest, evolution, watermarks as W
 from ..schemas import MANIFEST_DDL, ddl
 from ..session import local_frame
 from .snapshots import Snapshot
-from .tables import append_batch, read_or_empty
+from .tables import append_batch, file_listing, found, read_or_empty
 
 _DELETES_DDL = "table_id STRING, run_id STRING, dir STRING, deleted_at TIMESTAMP"
 VALID, MISSING, ORPHAN = "VALID", "MISSING", "ORPHAN"
@@ -68,9 +67,33 @@ class SliceStore:
         after a lost executor produces the same rows again.
         """
         path = self.fresh(self.run_dir(table_id, run_id))
-        rows.hint("rebalance", "slice_year").write.partitionBy("slice_year").parquet(path)
+        self._save(rows.hint("rebalance", "slice_year"), path)
         return path
 
+    def write_checked(
+        self, rows: DataFrame, table_id: str, run_id: str, years: list[int]
+    ) -> tuple[str, dict[int, tuple[int, tuple]]]:
+        """``write_rows``, and per year the count and content sums of the rows that went into the write.
+
+        They are observed by the writing tasks themselves, above the last exchange, so that a task repeated
+        after a lost executor counts once. A metric or two per calendar year of one table.
+        """
+        path = self.fresh(self.run_dir(table_id, run_id))
+        names = [c for c in rows.columns if c != "slice_year"]
+        hashes = [h.cast("decimal(28,0)") for h in digest.row_hashes(rows, names)]
+        metrics = []
+        for y in years:
+            own = F.col("slice_year") == y
+            metrics.append(F.count_if(own).alias(f"n {y}"))
+            metrics += [F.sum(F.when(own, h)).alias(f"{k} {y}") for k, h in zip("ab", hashes)]
+        seen = Observation(f"write {table_id} {run_id}")
+        self._save(rows.hint("rebalance", "slice_year").observe(seen, *metrics), path)
+        found = seen.get
+        return path, {y: (found[f"n {y}"], (found[f"a {y}"], found[f"b {y}"])) for y in years}
+
+    def _save(self, rows: DataFrame, path: str) -> None:
+        rows.write.partitionBy("slice_year").parquet(path)
+
     def fresh(self, path: str) -> str:
         """``path``, or with an attempt number if an earlier attempt of the run left it behind."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
@@ -81,14 +104,19 @@ class SliceStore:
             found = f"{path}.attempt-{attempt}"
         return found
 
-    def written(self, path: str, schema: T.StructType, watermark: str) -> DataFrame:
-        """Per-year count and watermark window of what a run really wrote."""
+    def written(self, path: str, schema: T.StructType, watermark: str, content: bool = False) -> DataFrame:
+        """Per-year count and watermark window of what a run really wrote; ``content`` adds the content sums.
+
+        Without ``content`` only the watermark column is read back.
+        """
         rows = self.spark.read.schema(_with_year(schema)).parquet(path)
         watermark = W.instant(rows, watermark)
+        sums = digest.content_sums(rows, schema.names) if content else ()
         return rows.groupBy("slice_year").agg(
             F.count(F.lit(1)).alias("row_count"),
             F.min(watermark).alias("wm_lo"),
             F.max(watermark).alias("wm_hi"),
+            *[s.alias(name) for s, name in zip(sums, ("sum_a", "sum_b"))],
         )
 
     def read(
@@ -190,17 +218,10 @@ class SliceStore:
             return self.spark.createDataFrame([], "table_id STRING, run_id STRING, year INT, dir STRING")
         which = "{" + ",".join(table_ids) + "}" if table_ids else "*"
         part = lambda i: F.regexp_extract("path", _SLICE_FILE, i)
-        try:
-            listed = (
-                self.spark.read.format("binaryFile")
-                .option("recursiveFileLookup", "true")
-                .option("pathGlobFilter", "*.parquet")
-                .load(f"{self.base}/data/{which}")
-            )
-        except AnalysisException as exc:
-            if exc.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], "table_id STRING, run_id STRING, year INT, dir STRING")
-            raise
+        root = f"{self.base}/data/{which}"
+        if not found(self.spark, root):
+            return self.spark.createDataFrame([], "table_id STRING, run_id STRING, year INT, dir STRING")
+        listed = file_listing(self.spark, root)
         return (
             listed.where(part(1) != "")
             .select(part(2).alias("table_id"), part(3).alias("run_id"), part(4).cast("int").alias("year"))

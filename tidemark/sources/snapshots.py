@@ -14,10 +14,13 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions import digest, evolution
+
 FILE = "_source_file"
 DOOMED = "_doomed"
 _FILES_DDL = "file STRING, n BIGINT, d BIGINT"
-MAX_BROADCAST_FILES = 1_000_000  # 64-bit hashes of file names: 16 MB
+_DOOMED_DDL = "file STRING, slice_year INT, d BIGINT, sum_a DECIMAL(38,0), sum_b DECIMAL(38,0)"
+MAX_BROADCAST_BYTES = 32 << 20  # of written tables of file names, compressed
 
 
 @dataclass(frozen=True)
@@ -48,47 +51,71 @@ class Snapshot:
             return out
         for d in self.deletes:
             out = out.unionByName(located(spark.read.schema(self.schema).parquet(f"{d}/rows")))
-        gone = spark.read.schema(_FILES_DDL).parquet(*[f"{d}/files" for d in self.deletes]).select("file")
-        return out.join(_small(gone, "file"), F.xxhash64(FILE) == F.col("_hash"), "left_anti")
+        gone = [f"{d}/files" for d in self.deletes]
+        return _near(out, spark.read.schema(_FILES_DDL).parquet(*gone), "left_anti", *gone)
 
     def after(self, directory: str) -> "Snapshot":
         return replace(self, deletes=(*self.deletes, directory))
 
 
-def _small(files: DataFrame, column: str) -> DataFrame:
-    """Hashes of file names; broadcast only while they are known to be few."""
-    hashes = files.select(F.xxhash64(column).alias("_hash")).distinct()
-    return F.broadcast(hashes) if hashes.count() <= MAX_BROADCAST_FILES else hashes
+def _few(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether the tables of file names at these paths are small enough together to be broadcast."""
+    size = 0
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        size += fs.getContentSummary(where).getLength()
+    return size <= MAX_BROADCAST_BYTES
 
 
-def without(
-    old: Snapshot,
-    inside: Column,
-    mark: Callable[[DataFrame], DataFrame],
-    path: str,
-    expected: int | None = None,
-) -> Snapshot:
-    """``old`` minus the rows that ``mark`` dooms, written to ``path``; nothing old is changed.
+def _near(rows: DataFrame, files: DataFrame, how: str, *paths: str) -> DataFrame:
+    """``rows`` in (left_semi) or outside (left_anti) the named ``files``: by a hash of the name and the name itself."""
+    names = files.select(F.xxhash64("file").alias("_hash"), F.col("file").alias("_name")).distinct()
+    names = F.broadcast(names) if _few(files.sparkSession, list(paths)) else names
+    return rows.join(names, (F.xxhash64(FILE) == F.col("_hash")) & (F.col(FILE) == F.col("_name")), how)
+
+
+def doom(
+    old: Snapshot, inside: Column, mark: Callable[[DataFrame], DataFrame], shape: T.StructType, path: str
+) -> DataFrame:
+    """Write what a delete would take: (file, slice_year, d, sum_a, sum_b), one row per file and year.
 
     ``inside`` bounds the doomed rows by raw columns, so that it reaches the reader: only rows inside are
-    marked. ``mark`` adds a boolean ``_doomed`` to the rows it is given; NULL keeps a row. Files are counted by a scan
-    without data columns. With ``expected``, any other number of doomed rows is refused.
+    marked. ``mark`` adds ``slice_year`` and a boolean ``_doomed`` to the rows it is given; NULL keeps a row. The sums are
+    content sums of the doomed rows as ``shape``, from the same scan.
     """
-    spark = old.rows.sparkSession
     if old.rows._jdf.queryExecution().optimizedPlan().children().nonEmpty():
         raise ValueError("delete refused: the source rows must be a plain read of a table, without filter or projection")
-    gone = F.coalesce(F.col(DOOMED), F.lit(False))
+    doomed = mark(old.with_files().where(inside)).where(F.coalesce(F.col(DOOMED), F.lit(False)))
+    extra = [T.StructField(FILE, T.StringType()), T.StructField("slice_year", T.IntegerType())]
+    shaped = evolution.conform(doomed, T.StructType(shape.fields + extra))
+    first, second = digest.content_sums(shaped, shape.names)
+    shaped.groupBy(F.col(FILE).alias("file"), "slice_year").agg(
+        F.count(F.lit(1)).alias("d"), first.alias("sum_a"), second.alias("sum_b")
+    ).write.parquet(f"{path}/doomed")
+    return old.rows.sparkSession.read.schema(_DOOMED_DDL).parquet(f"{path}/doomed")
+
+
+def without(
+    old: Snapshot, doomed: DataFrame, mark: Callable[[DataFrame], DataFrame], path: str, expected: int | None = None
+) -> Snapshot:
+    """``old`` minus the rows that ``mark`` dooms in the files of ``doomed``; nothing old is changed.
+
+    Files are counted by a scan without data columns, and only those that keep a row are rewritten. With
+    ``expected``, any other number of doomed rows is refused.
+    """
+    spark = old.rows.sparkSession
+    hit = doomed.groupBy("file").agg(F.sum("d").alias("d"))
     located = old.with_files()
-    doomed = mark(located.where(inside)).where(gone).groupBy(FILE).agg(F.count(F.lit(1)).alias("d"))
-    total = located.groupBy(FILE).agg(F.count(F.lit(1)).alias("n"))
-    total.join(doomed, FILE).select(F.col(FILE).alias("file"), "n", "d").write.parquet(f"{path}/files")
+    total = _near(located, hit, "left_semi", f"{path}/doomed").groupBy(F.col(FILE).alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    total.join(hit, "file").select("file", "n", "d").write.parquet(f"{path}/files")
     touched = spark.read.schema(_FILES_DDL).parquet(f"{path}/files")
-    found = touched.agg(F.coalesce(F.sum("d"), F.lit(0))).first()[0]
-    if expected is not None and found != expected:
-        raise ValueError(f"delete refused: {expected} rows were archived, {found} would be removed")
-    if not found:
+    count = touched.agg(F.coalesce(F.sum("d"), F.lit(0))).first()[0]
+    if expected is not None and count != expected:
+        raise ValueError(f"delete refused: {expected} rows were archived, {count} would be removed")
+    if not count:
         return old
-    mixed = _small(touched.where("d < n"), "file")
-    left = located.join(mixed, F.xxhash64(FILE) == F.col("_hash"), "left_semi")
-    mark(left).where(~gone).select(*[F.col(f"`{c}`") for c in old.schema.names]).write.parquet(f"{path}/rows")
+    left = mark(_near(located, touched.where("d < n"), "left_semi", f"{path}/files"))
+    kept = left.where(~F.coalesce(F.col(DOOMED), F.lit(False)))
+    kept.select(*[F.col(f"`{c}`") for c in old.schema.names]).write.parquet(f"{path}/rows")
     return old.after(path)

@@ -8,7 +8,6 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import rules as R, watermarks as W
@@ -93,13 +92,7 @@ def base_name(full_name: Column) -> Column:
 
 def sizes(spark: SparkSession, root: str) -> DataFrame:
     """(table_name, size_gb) from file lengths below ``root``; contents are never read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path", "length")
-    )
+    files = file_listing(spark, root)
     plain_root = re.sub(r"^[a-z0-9]+:/*", "/", root).rstrip("/")
     below = F.substring_index("path", plain_root + "/", -1)
     table = F.regexp_replace(F.element_at(F.split(below, "/"), 1), r"\.parquet$", "")
@@ -108,6 +101,23 @@ def sizes(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def file_listing(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length) of the Parquet files below a path or pattern; contents are never read.
+
+    Files of this format are packed into tasks by their length. The listing is planned in a session of its own, in which
+    a task may take any length, so that their number is that of the cores, whatever the files hold.
+    """
+    lister = spark.newSession()
+    lister.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    return (
+        lister.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+        .select("path", "length")
+    )
+
+
 def append_batch(rows: DataFrame, path: str) -> None:
     """Append to a log table as a directory of its own, so that runs can append at once.
 
@@ -117,10 +127,14 @@ def append_batch(rows: DataFrame, path: str) -> None:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema_ddl: str) -> DataFrame:
-    """A log table that may not exist yet; other read errors propagate."""
-    try:
-        return spark.read.schema(schema_ddl).option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema_ddl)
-        raise
+    """A log table that may not exist yet."""
+    if not found(spark, path):
+        return spark.createDataFrame([], schema_ddl)
+    return spark.read.schema(schema_ddl).option("recursiveFileLookup", "true").parquet(path)
+
+
+def found(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any path of a pattern, exists."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(fs.globStatus(where))
