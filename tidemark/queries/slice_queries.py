@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import archive, archive_tables, delete_archived, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
 from ..operators import decisions, profile, reports, verification
 from ..sources.audit_log import PAYLOAD_DDL
+from ..sources.publication import publish_source
 from ..sources.slices import SliceStore
 from ..sources.tables import Source
 from .base import (
@@ -449,6 +451,20 @@ def delete_durable(spark, d) -> DataFrame:
     return store.source_snapshot("orders", table).read().select(*ORDER_COLUMNS)
 
 
+@query("source_published", LEFT_SQL)
+def source_published(spark, d) -> DataFrame:
+    """After a publication any session that reads the table by its name has it without the archived rows."""
+    (orders,) = read(spark, d, "orders")
+    store, log = lifecycle(spark)
+    name = f"orders_{uuid.uuid4().hex}"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (o_orderstatus) LOCATION '{store.base}/tables/orders'")
+    orders.select(*spark.table(name).columns).write.insertInto(name)
+    archive(orders_source(spark.table(name), delete_after=True), store, log, "r1", AS_OF)
+    publish_source(store, "orders", name, "p1")
+    return spark.newSession().table(name).select(*ORDER_COLUMNS)
+
+
 @query(
     "delete_live",
     f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders WHERE NOT (year(o_orderdate) IN (1996, 1998) AND {KEPT_SQL})",

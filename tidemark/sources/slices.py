@@ -22,6 +22,10 @@ from .snapshots import Snapshot
 from .tables import append_batch, file_listing, found, read_or_empty
 
 _DELETES_DDL = "table_id STRING, run_id STRING, dir STRING, deleted_at TIMESTAMP"
+_PUBLICATIONS_DDL = (
+    "table_id STRING, run_id STRING, name STRING, spec STRING, old STRING, new STRING, folded ARRAY<STRING>, "
+    "state STRING, noted_at TIMESTAMP"
+)
 VALID, MISSING, ORPHAN = "VALID", "MISSING", "ORPHAN"
 
 _SLICE_FILE = r"(.*/data/([^/]+)/run=([^/]+)/slice_year=(-?\d+))/[^/]+$"
@@ -172,10 +176,34 @@ class SliceStore:
         append_batch(local_frame(self.spark, row, _DELETES_DDL).coalesce(1), f"{self.base}/source_deletes")
 
     def source_snapshot(self, table_id: str, rows: DataFrame) -> Snapshot:
-        """The source ``rows`` without what this store's deletes took out of it; one row per delete is read."""
-        found = read_or_empty(self.spark, f"{self.base}/source_deletes", _DELETES_DDL)
-        done = found.where(F.col("table_id") == table_id).orderBy("deleted_at").select("dir").collect()
-        return Snapshot(rows, tuple(r.dir for r in done))
+        """The source ``rows`` without what this store's deletes took out of it; one row per delete is read.
+
+        Deletes that a publication has folded into the table are left out. Raises while one is unfinished.
+        """
+        deletes = read_or_empty(self.spark, f"{self.base}/source_deletes", _DELETES_DDL)
+        done = [r.dir for r in deletes.where(F.col("table_id") == table_id).orderBy("deleted_at").select("dir").collect()]
+        if done:
+            folds = self.publications(table_id).groupBy("run_id", "folded").agg(
+                F.count_if(F.col("state") == "PREPARED").alias("prepared"), F.count_if(F.col("state") == "DONE").alias("done")
+            ).collect()
+            unfinished = [r.run_id for r in folds if r.done < r.prepared]
+            if unfinished:
+                raise RuntimeError(f"publication {unfinished[0]} of {table_id} is unfinished: call finish first")
+            folded = {d for r in folds for d in r.folded}
+            done = [d for d in done if d not in folded]
+        return Snapshot(rows, tuple(done))
+
+    def publications(self, table_id: str | None = None) -> DataFrame:
+        """What publications of sources switched, one row per step and location."""
+        noted = read_or_empty(self.spark, f"{self.base}/source_publications", _PUBLICATIONS_DDL)
+        return noted if table_id is None else noted.where(F.col("table_id") == table_id)
+
+    def note_publication(self, rows: list[tuple]) -> None:
+        """(table_id, run_id, name, spec, old, new, folded, state) of some switches."""
+        if rows:
+            now = dt.datetime.now(dt.timezone.utc)
+            frame = local_frame(self.spark, [(*r, now) for r in rows], _PUBLICATIONS_DDL)
+            append_batch(frame.coalesce(1), f"{self.base}/source_publications")
 
     # -- versions ----------------------------------------------------------------
     def versions(self) -> DataFrame:

@@ -75,6 +75,13 @@ def _near(rows: DataFrame, files: DataFrame, how: str, *paths: str) -> DataFrame
     return rows.join(names, (F.xxhash64(FILE) == F.col("_hash")) & (F.col(FILE) == F.col("_name")), how)
 
 
+def touched_rows(old: Snapshot) -> DataFrame:
+    """Rows of the table itself, with their file, in the files that the deletes touched."""
+    located = Snapshot(old.rows).with_files()
+    gone = [f"{d}/files" for d in old.deletes]
+    return _near(located, old.rows.sparkSession.read.schema(_FILES_DDL).parquet(*gone), "left_semi", *gone)
+
+
 def doom(
     old: Snapshot, inside: Column, mark: Callable[[DataFrame], DataFrame], shape: T.StructType, path: str
 ) -> DataFrame:
