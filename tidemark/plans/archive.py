@@ -391,8 +391,8 @@ def _prepare(job, run_id, year, n, written, old, schema, path) -> None:
             "year": year,
             "version": version,
             "op": planned.action,
-            "live_dirs": (list(base.live_dirs) if base else [])
-            + ([f"{path}/slice_year={year}"] if n else []),
+            "chain": base.chain if base else version,
+            "dirs": [f"{path}/slice_year={year}"] if n else [],
             "row_count": n + (base.row_count if base else 0),
             "wm_lo": _least(base.wm_lo if base else None, written.wm_lo if written else None),
             "wm_hi": wm_hi,

@@ -9,7 +9,7 @@ from ..session import local_frame
 from ..sources.audit_log import AuditLog
 from ..sources.slices import SliceStore, safe_name
 
-KEPT = ("live_dirs", "row_count", "wm_lo", "wm_hi", "schema_ddl", "conditions")
+KEPT = ("row_count", "wm_lo", "wm_hi", "schema_ddl", "conditions")
 
 
 def rollback(
@@ -32,7 +32,7 @@ def rollback(
         )
         target = {
             (r.table_id, r.year): r
-            for r in store.versions().join(wanted, ["table_id", "year", "version"], "left_semi").collect()
+            for r in store.resolved(wanted).collect()
         }
         newest = {
             (r.table_id, r.year): r.version
@@ -51,6 +51,7 @@ def rollback(
                     "run_id": run_id,
                     "rows_this_run": t.row_count,
                     "mode": "rollback",
+                    "dirs": t.live_dirs,
                     **{k: t[k] for k in KEPT},
                 }
             )
@@ -94,7 +95,7 @@ def wipe(
                     "year": v.year,
                     "version": old.version + 1,
                     "op": "WIPE",
-                    "live_dirs": [],
+                    "dirs": [],
                     "row_count": 0,
                     "schema_ddl": old.schema_ddl,
                     "run_id": run_id,

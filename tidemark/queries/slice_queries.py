@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from .. import archive, archive_tables, delete_archived, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
+from .. import archive, archive_tables, compact, delete_archived, dry_run, plan, plan_delete, rollback, wipe, work_plan as plan_work
 from ..operators import decisions, profile, reports, verification
 from ..sources.audit_log import PAYLOAD_DDL
 from ..sources.publication import publish_source
@@ -158,7 +158,7 @@ def troubled_store(spark, d):
         [
             {
                 "table_id": "events", "year": r.year, "version": 0, "op": "CREATE", "run_id": "gone",
-                "live_dirs": [store.slice_dir("events", "gone", r.year)], "row_count": r["count"],
+                "dirs": [store.slice_dir("events", "gone", r.year)], "row_count": r["count"],
             }
             for r in years
         ]
@@ -249,6 +249,28 @@ def slice_rollback(spark, d) -> DataFrame:
     return store.counts("orders")
 
 
+@query(
+    "slice_compact",
+    f"""
+    SELECT a.slice_year, a.row_count, a.total_price, CASE WHEN s.slice_year IS NULL THEN 'CREATE' ELSE 'COMPACT' END AS op,
+           CAST(CASE WHEN s.slice_year IS NULL THEN 0 ELSE 2 END AS BIGINT) AS version, CAST(1 AS BIGINT) AS directories
+    FROM (SELECT slice_year, count(*) AS row_count, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+          FROM ({APPENDED_SQL}) x GROUP BY 1) a
+    LEFT JOIN (SELECT DISTINCT slice_year FROM ({SECOND_SQL}) y) s USING (slice_year)
+    """,
+)
+def slice_compact(spark, d) -> DataFrame:
+    """Slices of several appends, rewritten as one directory each; slices of one file stay."""
+    store, log, _ = appended_orders(spark, d)
+    compact(store, log, "orders", "c1")
+    held = store.read("orders").groupBy("slice_year").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total_price"),
+    )
+    state = store.latest().select(F.col("year").alias("slice_year"), "op", "version", F.size("live_dirs").cast("long").alias("directories"))
+    return held.join(state, "slice_year")
+
+
 @query(
     "slice_manifest",
     f"""

@@ -92,7 +92,7 @@ TABLE_CONFIG_DDL = f"""
 # --- end of fixed values ---
 
 MANIFEST_DDL = """
-    table_id STRING, year INT, version BIGINT, op STRING, live_dirs ARRAY<STRING>,
+    table_id STRING, year INT, version BIGINT, op STRING, chain BIGINT, dirs ARRAY<STRING>,
     row_count BIGINT, wm_lo TIMESTAMP_NTZ, wm_hi TIMESTAMP_NTZ, schema_ddl STRING,
     run_id STRING, rows_this_run BIGINT, mode STRING, conditions ARRAY<STRING>,
     source_year_count BIGINT, retention_years INT, committed_by STRING, committed_at TIMESTAMP

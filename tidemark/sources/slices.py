@@ -2,8 +2,9 @@
 
 Rows live in ``{base}/data/{table}/run={run}/slice_year={year}/``; a run writes all its
 years in one job. The versions table says which directories make up a slice at each
-version: an append adds one directory, a rollback repeats an older list, a wipe has an
-empty list. Nothing already published is rewritten, and a directory that no version names
+version. A version row names only the directories it adds and the version its chain of appends begins
+with; a slice's directories are those of its chain up to the version. A rollback, a wipe and a compaction begin
+a chain of their own. Nothing already published is rewritten, and a directory that no version names
 is invisible.
 """
 
@@ -13,7 +14,7 @@ import datetime as dt
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from ..functions import digest, evolution, watermarks as W
 from ..schemas import MANIFEST_DDL, ddl
@@ -142,7 +143,10 @@ class SliceStore:
     def rows_of(self, table_id: str, versions: list[Row]) -> DataFrame:
         """Rows of given version rows (schema_ddl, live_dirs) of one table."""
         schema = evolution.common([ddl(r.schema_ddl) for r in versions if r.schema_ddl])
-        dirs = [d for r in versions for d in r.live_dirs]
+        return self.rows_in(table_id, schema, [d for r in versions for d in r.live_dirs])
+
+    def rows_in(self, table_id: str, schema: T.StructType, dirs: list[str]) -> DataFrame:
+        """Rows of directories of one table, with ``slice_year``."""
         with_year = _with_year(schema)
         if not dirs:
             return self.spark.createDataFrame([], with_year)
@@ -162,6 +166,11 @@ class SliceStore:
         """Highest archived watermark per slice, at full precision."""
         return self.read(table_id).groupBy("slice_year").agg(F.max(watermark).alias("high_water"))
 
+    def content(self, rows: DataFrame, names: list[str]) -> DataFrame:
+        """Count and content sums of rows per ``slice_year``."""
+        sums = [s.alias(k) for s, k in zip(digest.content_sums(rows, names), ("sum_a", "sum_b"))]
+        return rows.groupBy("slice_year").agg(F.count(F.lit(1)).alias("row_count"), *sums)
+
     def fingerprints(self, table_id: str) -> DataFrame:
         rows = self.read(table_id)
         names = [c for c in rows.columns if c != "slice_year"]
@@ -210,12 +219,12 @@ class SliceStore:
         return read_or_empty(self.spark, self.versions_path, MANIFEST_DDL)
 
     def publish(self, rows: list[dict]) -> None:
-        """Append version rows (at most tables x years of one run) as one file."""
+        """Append version rows (at most tables x years of one run) as one file; without ``chain`` one begins."""
         if not rows:
             return
         names = ddl(MANIFEST_DDL).names
         now = dt.datetime.now(dt.timezone.utc)
-        data = [tuple({"committed_at": now, **r}.get(n) for n in names) for r in rows]
+        data = [tuple({"committed_at": now, "chain": r["version"], **r}.get(n) for n in names) for r in rows]
         frame = local_frame(self.spark, data, MANIFEST_DDL).withColumn("committed_by", F.current_user())
         append_batch(frame.coalesce(1), self.versions_path)
 
@@ -223,7 +232,14 @@ class SliceStore:
         return _newest(self.versions())
 
     def at(self, version: int) -> DataFrame:
-        return self.versions().where(F.col("version") == version)
+        """The slices that have this version, as they were then."""
+        return _newest(self.versions().where(F.col("version") <= version)).where(F.col("version") == version)
+
+    def resolved(self, wanted: DataFrame) -> DataFrame:
+        """The given versions (table_id, year, version), one per slice, with ``live_dirs``."""
+        upto = wanted.select("table_id", "year", F.col("version").alias("_upto"))
+        known = self.versions().join(upto, ["table_id", "year"]).where("version <= _upto").drop("_upto")
+        return _newest(known).join(wanted, ["table_id", "year", "version"], "left_semi")
 
     def history(self) -> DataFrame:
         """Latest version and the ascending list of versions per slice."""
@@ -267,25 +283,27 @@ class SliceStore:
         directory gone. ORPHAN: files on disk under no version row at all. Version rows and
         directories meet in one aggregation; a slice has a handful of either per run.
         """
-        row = F.struct("version", "row_count", "live_dirs", "wm_lo", "wm_hi", "schema_ddl")
+        row = F.struct("version", "chain", "row_count", "wm_lo", "wm_hi", "schema_ddl")
         versions = self.versions()
         if table_ids is not None:
             versions = versions.where(F.col("table_id").isin(table_ids))
-        versions = versions.select("table_id", "year", row.alias("row"), F.lit(None).cast("string").alias("dir"))
-        on_disk = self.directories(table_ids).select("table_id", "year", F.lit(None).alias("row"), "dir")
+        versions = versions.select("table_id", "year", row.alias("row"), _part().alias("part"), F.lit(None).cast("string").alias("dir"))
+        on_disk = self.directories(table_ids).select("table_id", "year", F.lit(None).alias("row"), F.lit(None).alias("part"), "dir")
         known = F.col("row").isNotNull()
-        gone = known & (F.size(F.array_except("row.live_dirs", "dirs")) > 0)
+        gone = known & (F.size(F.array_except("live_dirs", "dirs")) > 0)
         return (
             versions.union(on_disk)
             .groupBy("table_id", "year")
-            .agg(F.max_by("row", "row.version").alias("row"), F.collect_set("dir").alias("dirs"))
+            .agg(F.max_by("row", "row.version").alias("row"), F.collect_list("part").alias("parts"), F.collect_set("dir").alias("dirs"))
+            .withColumn("live_dirs", _chained("row"))
             .select(
                 "table_id",
                 "year",
                 F.when(gone, MISSING).when(known, VALID).otherwise(ORPHAN).alias("slice_state"),
                 F.when(known & ~gone, F.col("row.row_count")).otherwise(F.lit(0)).alias("row_count"),
                 "row.version",
-                "row.live_dirs",
+                "row.chain",
+                "live_dirs",
                 "row.wm_lo",
                 "row.wm_hi",
                 "row.schema_ddl",
@@ -322,16 +340,17 @@ class SliceStore:
 
     def recoverable(self, table_ids: list[str] | None = None) -> DataFrame:
         """Versions whose directories all still exist: the ones a rollback can reach."""
-        v = self.versions().select("table_id", "year", "version", "live_dirs")
+        v = self.versions().select("table_id", "year", "version", "chain", "dirs")
         if table_ids is not None:
             v = v.where(F.col("table_id").isin(table_ids))
+        # a lost directory takes all later versions of its chain along
         gone = (
-            v.select("table_id", "year", "version", F.explode("live_dirs").alias("dir"))
+            v.select("table_id", "year", "version", "chain", F.explode("dirs").alias("dir"))
             .join(self.directories(table_ids).select("dir"), "dir", "left_anti")
-            .select("table_id", "year", "version")
-            .distinct()
+            .groupBy("table_id", "year", "chain")
+            .agg(F.min("version").alias("_gone"))
         )
-        return v.join(gone, ["table_id", "year", "version"], "left_anti").select(
+        return v.join(gone, ["table_id", "year", "chain"], "left").where("_gone IS NULL OR version < _gone").select(
             "table_id", "year", "version"
         )
 
@@ -341,12 +360,25 @@ def _with_year(schema: T.StructType) -> T.StructType:
 
 
 def _newest(versions: DataFrame) -> DataFrame:
-    """Newest version row per slice by a mergeable aggregate, not a window."""
+    """Newest version row per slice with ``live_dirs``, by mergeable aggregates, not a window.
+
+    The directories come from the rows of the newest row's chain: one small struct per version of a slice.
+    """
     rest = [c for c in versions.columns if c not in ("table_id", "year")]
     ordered = ["version"] + [c for c in rest if c != "version"]
     return (
         versions.groupBy("table_id", "year")
-        .agg(F.max_by(F.struct(*ordered), F.col("version")).alias("row"))
-        .select("table_id", "year", "row.*")
-        .select(*versions.columns)
+        .agg(F.max_by(F.struct(*ordered), F.col("version")).alias("row"), F.collect_list(_part()).alias("parts"))
+        .select("table_id", "year", "row.*", _chained("row").alias("live_dirs"))
+        .select(*versions.columns, "live_dirs")
     )
+
+
+def _part() -> Column:
+    return F.struct("version", "chain", "dirs")
+
+
+def _chained(row: str) -> Column:
+    """Directories of ``parts`` in the chain of ``row``, oldest first."""
+    own = F.filter("parts", lambda p: (p["chain"] == F.col(f"{row}.chain")) & (p["version"] <= F.col(f"{row}.version")))
+    return F.flatten(F.transform(F.array_sort(own), lambda p: p["dirs"]))
