@@ -1,15 +1,24 @@
-"""Restore archived years as DataFrames and temporary views."""
+"""Restore archived years as DataFrames and temporary views, or as a table and views that other sessions can query."""
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions import evolution
+from ..schemas import ddl
 from ..session import local_frame
 from ..sources.audit_log import AuditLog
 from ..sources.slices import VALID, SliceStore
+from ..sources.tables import append_batch, read_or_empty
+
+_RESTORED_DDL = (
+    "table_id STRING, run_id STRING, target_schema STRING, name STRING, kind STRING, expires_at TIMESTAMP, noted_at TIMESTAMP, state STRING"
+)
+_BATCH = 200  # partitions added by one statement
 
 
 class SchemaMismatch(ValueError):
@@ -59,12 +68,23 @@ def restore(
     prefix: str = "",
     suffix: str = "_unified",
     run_id: str | None = None,
+    target_schema: str | None = None,
+    live_table: str | None = None,
+    expires_at: dt.datetime | None = None,
 ) -> Restored:
     """One view per available year, and optionally one over all of them and the live table.
 
     Only VALID slices are available; others are skipped. No year at all is FAILED. Views
     are lazy: nothing is read until they are queried, and then only what the query needs.
+
+    Without ``target_schema`` the views are those of this session. With it they are views of the catalogue over an
+    external table whose partitions are the slices' directories: no row is copied. ``live_table`` is then the
+    live table's name in the catalogue, and ``drop_expired`` takes all of it away after ``expires_at``.
     """
+    if target_schema is not None and live is not None:
+        raise ValueError("views that outlive the session take the live table by name: live_table")
+    if target_schema is not None and live_table is not None:
+        live = store.spark.table(live_table)
     # One query for all years: their state, directories and schemas.
     valid = {
         r.year: r
@@ -79,7 +99,8 @@ def restore(
     for y in years:
         if y in valid:
             rows = store.rows_of(table_id, [valid[y]]).drop("slice_year")
-            rows.createOrReplaceTempView(f"{base}_year_{y}")
+            if target_schema is None:
+                rows.createOrReplaceTempView(f"{base}_year_{y}")
             out.years[y] = rows
             out.views.append(f"{base}_year_{y}")
     try:
@@ -90,19 +111,99 @@ def restore(
             if live is not None:
                 parts = {table_id: live, **parts}
             out.unified = unify(parts)
-            out.unified.createOrReplaceTempView(base + suffix)
+            if target_schema is None:
+                out.unified.createOrReplaceTempView(base + suffix)
             out.views.append(base + suffix)
+        if target_schema is not None:
+            made = _lasting(store, table_id, base, suffix if unified else None, valid, out, target_schema, live_table)
+            note = [(table_id, run_id, target_schema, name, kind, expires_at) for name, kind in made]
+            _note(store, note, "RESTORED")
         out.status = "COMPLETED" if len(out.years) == len(years) else "PARTIAL_COMPLETED"
     except (LookupError, SchemaMismatch) as exc:
         error = exc
     if audit is not None:
-        audit.append_restores(_event(store, audit, table_id, years, out, error, run_id))
+        audit.append_restores(_event(store, audit, table_id, years, out, error, run_id, target_schema))
     if error is not None:
         raise error
     return out
 
 
-def _event(store, audit, table_id, years, out: Restored, error, run_id) -> DataFrame:
+def _quoted(*names: str) -> str:
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
+
+
+def _lasting(store, table_id, base, suffix, valid, out: Restored, target: str, live_table) -> list[tuple[str, str]]:
+    """Create the external table and its views; (name, kind) of each, views first.
+
+    A slice of several directories has a partition for each, so the table is partitioned by year and piece. The
+    statements are metadata alone: one per view and one per few hundred directories.
+    """
+    spark = store.spark
+    slices = [valid[y] for y in out.years]
+    schema = evolution.common([ddl(r.schema_ddl) for r in slices])
+    table = f"{base}_restored"
+    name = _quoted(target, table)
+    columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    root = store.fresh(f"{store.base}/restored/{target}/{table}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}, slice_year INT, slice_piece INT) USING parquet "
+        f"PARTITIONED BY (slice_year, slice_piece) LOCATION '{root}'"
+    )
+    places = [
+        f"PARTITION (slice_year = {r.year}, slice_piece = {k}) LOCATION '{d}'"
+        for r in slices for k, d in enumerate(r.live_dirs)
+    ]
+    for k in range(0, len(places), _BATCH):
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(places[k : k + _BATCH])}")
+    made = []
+
+    def view(title: str, body: str) -> None:
+        spark.sql(f"CREATE OR REPLACE VIEW {_quoted(target, title)} AS {body}")
+        made.append((title, "VIEW"))
+
+    def shaped(own: T.StructType) -> str:
+        return ", ".join(f"CAST({_quoted(f.name)} AS {f.dataType.simpleString()}) AS {_quoted(f.name)}" for f in own)
+
+    for y, rows in out.years.items():
+        view(f"{base}_year_{y}", f"SELECT {shaped(rows.schema)} FROM {name} WHERE slice_year = {y}")
+    if suffix is not None:
+        own = next(iter(out.years.values())).schema
+        years = ", ".join(map(str, out.years))
+        body = f"SELECT {shaped(own)} FROM {name} WHERE slice_year IN ({years})"
+        if live_table is not None:
+            body = f"SELECT {', '.join(_quoted(n) for n in own.names)} FROM {live_table} UNION ALL {body}"
+        view(base + suffix, body)
+    return [*made, (table, "TABLE")]
+
+
+def _note(store: SliceStore, rows: list[tuple], state: str) -> None:
+    now = dt.datetime.now(dt.timezone.utc)
+    frame = local_frame(store.spark, [(*r, now, state) for r in rows], _RESTORED_DDL)
+    append_batch(frame.coalesce(1), f"{store.base}/restored_log")
+
+
+def restored(store: SliceStore) -> DataFrame:
+    """Tables and views of the catalogue that restores made and nobody dropped: the newest note of each name."""
+    notes = read_or_empty(store.spark, f"{store.base}/restored_log", _RESTORED_DDL)
+    key = ["target_schema", "name", "kind"]
+    rest = [c for c in notes.columns if c not in key]
+    newest = notes.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("noted_at")).alias("_row")).select(*key, "_row.*")
+    return newest.where("state = 'RESTORED'").select(*notes.columns)
+
+
+def drop_expired(store: SliceStore, now: dt.datetime) -> list[str]:
+    """Drop the views and tables whose time is over, views first; the slices they show stay. Their names."""
+    over = restored(store).where(F.col("expires_at") <= F.lit(now)).collect()
+    over.sort(key=lambda r: r.kind == "TABLE")
+    for r in over:
+        store.spark.sql(f"DROP {r.kind} IF EXISTS {_quoted(r.target_schema, r.name)}")
+    if over:
+        _note(store, [(r.table_id, r.run_id, r.target_schema, r.name, r.kind, r.expires_at) for r in over], "DROPPED")
+    return [r.name for r in over]
+
+
+def _event(store, audit, table_id, years, out: Restored, error, run_id, target_schema=None) -> DataFrame:
     row = (
         run_id,
         store.table_dir(table_id),
@@ -111,11 +212,13 @@ def _event(store, audit, table_id, years, out: Restored, error, run_id) -> DataF
         len(out.years),
         out.status,
         None if error is None else f"{error}; restored={sorted(out.years)}; skipped={out.skipped}",
+        store.spark.catalog.currentCatalog() if target_schema is not None else None,
+        target_schema,
         audit.clock(),
     )
     return local_frame(
         store.spark,
         [row],
         "archive_run_id STRING, archive_path STRING, source_table STRING, years STRING, "
-        "tables_created INT, status STRING, error_message STRING, created_at TIMESTAMP",
+        "tables_created INT, status STRING, error_message STRING, target_catalog STRING, target_schema STRING, created_at TIMESTAMP",
     ).withColumn("audit_id", F.uuid()).withColumn("rehydrated_by", F.current_user())

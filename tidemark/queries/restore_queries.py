@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import archive, restore
 from ..functions import evolution
 from ..plans.restore import mismatch
 from .base import AS_OF, ORDER_COLUMNS, first_load, lifecycle, orders_source, query, read
-from .slice_queries import APPENDED_SQL, ARCHIVED_SQL, FIRST_SQL, SECOND_SQL, archived_orders
+from .slice_queries import APPENDED_SQL, ARCHIVED_SQL, FIRST_SQL, SECOND_SQL, appended_orders, archived_orders
 
 COLS = ", ".join(ORDER_COLUMNS)
 
@@ -30,6 +32,25 @@ def restore_unified(spark, d) -> DataFrame:
     return spark.table("restored_orders_unified")
 
 
+@query(
+    "restore_view",
+    f"""
+    SELECT {COLS}, 'orders' AS target FROM orders
+    UNION ALL SELECT {COLS}, 'orders' FROM ({APPENDED_SQL}) a WHERE slice_year IN (1995, 1998)
+    """,
+)
+def restore_view(spark, d) -> DataFrame:
+    """Years of several appends as views of the catalogue, read by name from another session."""
+    store, log, source = appended_orders(spark, d)
+    schema = f"restored_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{store.base}/schema'")
+    source.rows.write.parquet(f"{store.base}/tables/orders")
+    spark.sql(f"CREATE TABLE {schema}.orders USING parquet LOCATION '{store.base}/tables/orders'")
+    restore(store, log, "orders", [1995, 1998, 2001], target_schema=schema, live_table=f"{schema}.orders")
+    (recorded,) = log.restores().where(F.col("target_schema") == schema).select("source_table").collect()
+    return spark.newSession().table(f"{schema}.orders_unified").select(*ORDER_COLUMNS, F.lit(recorded.source_table).alias("target"))
+
+
 @query(
     "restore_audit",
     """
