@@ -1,5 +1,6 @@
 import datetime as dt
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -144,3 +145,76 @@ def test_every_spelling_is_aggregated_first(spark, text, protected):
     out = R.with_flags(df, [R.Rule("r", "custom_sql", value=text)], dt.date(2024, 1, 1))
     assert {r.k for r in out.where("_protected_0").collect()} == protected
     assert "keys=[k" in out._jdf.queryExecution().optimizedPlan().toString() or "Aggregate [k" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("text,said", [
+    ("EXISTS (SELECT 1 FROM a WHERE a.k = src.k AND a.d > src.d)", "coalesce((SELECT max(a.d) FROM a WHERE a.k = src.k) > src.d, false)"),
+    ("NOT EXISTS (SELECT 1 FROM a WHERE src.d >= a.d AND a.k = src.k AND a.x = 'AND')",
+     "NOT coalesce((SELECT min(a.d) FROM a WHERE a.k = src.k AND a.x = 'AND') <= src.d, false)"),
+    ("exists (select * from a where a.d between 1 and 2 and src.k = a.k) or not exists (select 1 from b where b.k=src.k)",
+     "0 < (SELECT count(*) from a WHERE a.d between 1 and 2 AND src.k = a.k) or 0 = (SELECT count(*) from b WHERE b.k=src.k)"),
+    ("src.v IN (SELECT v FROM a) AND src.note <> 'x IN (SELECT a FROM b)'", "src.v IN (SELECT DISTINCT v FROM a) AND src.note <> 'x IN (SELECT a FROM b)'"),
+])
+def test_shapes(text, said):
+    assert R.counted_exists(text) == said
+
+
+@pytest.mark.parametrize("text", [
+    "EXISTS (SELECT 1 FROM a WHERE a.k = src.k AND a.lo <= src.d AND a.hi >= src.d)",
+    "EXISTS (SELECT 1 FROM a WHERE a.k = src.k AND (a.d > src.d OR a.e > 1))",
+    "EXISTS (SELECT 1 FROM a WHERE a.k = src.k AND a.d <> src.d)",
+    "EXISTS (SELECT 1 FROM a JOIN b ON a.k = src.k)",
+    "EXISTS (SELECT count(*) FROM a WHERE a.k = src.k)",
+    "1 + src.v IN (SELECT v FROM a)",
+    "src.note = 'EXISTS (SELECT 1 FROM a WHERE a.k = src.k)' -- IN (SELECT v FROM a)",
+])
+def test_other_shapes_stay(text):
+    assert R.counted_exists(text) == text
+
+
+@pytest.fixture
+def looked_up(spark):
+    spark.createDataFrame([(1, 5), (1, 9), (2, None), (3, 1)], "k INT, d INT").createOrReplaceTempView("seen")
+    spark.createDataFrame([(3,), (4,), (None,)], "v INT").createOrReplaceTempView("banned")
+    return spark.createDataFrame(
+        [(1, 4, "a"), (1, 9, "b"), (2, 0, "c"), (3, 1, "d"), (None, 1, "e"), (1, None, "f"), (4, 4, "x IN (SELECT a FROM b)")],
+        "k INT, v INT, note STRING",
+    )
+
+
+@pytest.mark.parametrize("text", [
+    "EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k AND s.d > {source_alias}.v)",
+    "NOT EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k AND {source_alias}.v >= s.d)",
+    "EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k AND s.d >= {source_alias}.v AND s.d <= {source_alias}.v + 3)",
+    "EXISTS (SELECT 1 FROM seen s WHERE s.d < {source_alias}.v)",
+    "EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k) OR {source_alias}.v IN (SELECT v FROM banned)",
+    "{source_alias}.note = 'x IN (SELECT a FROM b)' AND NOT EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k)",
+    "{source_alias}.k IN (SELECT v FROM banned)",
+    "{source_alias}.k NOT IN (SELECT v FROM banned)",
+    "{source_alias}.k IN (SELECT v FROM banned WHERE v > 99)",
+    "{source_alias}.v NOT IN (SELECT v FROM banned WHERE v > 3) AND ({source_alias}.k = 1 OR NOT {source_alias}.k IN (SELECT k FROM seen))",
+])
+def test_verdicts_are_those_of_the_rule_as_written(spark, looked_up, text):
+    """Against DuckDB, the third value included."""
+    got = R.with_flags(looked_up, [R.Rule("r", "custom_sql", value=text)], AS_OF)
+    con = duckdb.connect()
+    for name, df in (("seen", spark.table("seen")), ("banned", spark.table("banned")), ("src", looked_up)):
+        con.execute(f"CREATE TABLE {name} ({', '.join(f'{c} {t}' for c, t in df.dtypes)})")
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(df.columns))})", [list(r) for r in df.collect()])
+    want = dict(con.execute(f"SELECT note, {text.replace('{source_alias}', 'src')} FROM src").fetchall())
+    assert {r.note: r["_protected_0"] for r in got.collect()} == want
+
+
+def test_rules_of_one_key_share_a_scan_and_no_nested_loop(spark, looked_up, tmp_path):
+    looked_up.write.parquet(f"{tmp_path}/src")
+    rows = spark.read.parquet(f"{tmp_path}/src")
+    rules = [
+        R.Rule("a", "custom_sql", value="EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k)"),
+        R.Rule("b", "custom_sql", value="NOT EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k AND s.d > 3) OR {source_alias}.k IN (SELECT v FROM banned)"),
+        R.Rule("c", "custom_sql", value="EXISTS (SELECT 1 FROM seen s WHERE s.k = {source_alias}.k AND s.d > {source_alias}.v)"),
+    ]
+    plan = R.with_flags(rows, rules, AS_OF)._jdf.queryExecution()
+    executed = plan.executedPlan().toString()
+    assert "NestedLoop" not in executed
+    assert plan.optimizedPlan().toString().count("Relation [") == 1 + 2  # the source, keys (k), keys (k, v)
+    assert "Existence" not in R.with_flags(rows, [rules[0], rules[2]], AS_OF)._jdf.queryExecution().executedPlan().toString()

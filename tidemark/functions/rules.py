@@ -20,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import local_frame
+from . import subqueries
 from .skew import unique_lookup
 from .watermarks import col
 
@@ -89,64 +90,59 @@ def list_items(rule: Rule) -> list[str]:
     return out
 
 
-# EXISTS with a plain single-table-or-join subquery; anything cleverer is left as written.
-_PLAIN_EXISTS = re.compile(
-    r"^\s*(NOT\s+)?EXISTS\s*\(\s*SELECT\s+(?:1|\*|[\w.`]+(?:\s*,\s*[\w.`]+)*)\s+FROM\b", re.IGNORECASE
-)
-_PLAIN_IN = re.compile(r"\bIN\s*\(\s*SELECT\s+(?!DISTINCT\b)(?=[\w.`]+\s+FROM\b)", re.IGNORECASE)
-_NOT_PLAIN = re.compile(
-    r"\b(GROUP|HAVING|LIMIT|OFFSET|UNION|INTERSECT|EXCEPT|MINUS|WITH|LATERAL|QUALIFY)\b",
-    re.IGNORECASE,
-)
-
-
 def counted_exists(text: str) -> str:
-    """Rewrite ``[NOT] EXISTS (SELECT ... FROM t ...)`` as a comparison of ``(SELECT count(*) FROM t ...)`` with 0,
-    and ``IN (SELECT c FROM t ...)`` as ``IN (SELECT DISTINCT c FROM t ...)``.
+    """The text with its subquery predicates said as aggregates per key where their shape allows it.
 
     Both forms are true, false and unknown for the same rows. Catalyst turns the first, used as a flag, into an
     existence join with every row of the referenced table. It turns the second into an
     aggregate of that table by the key, combined map-side, and then a join, whatever the spelling.
     """
-    single = len(re.findall(r"\bSELECT\b", text, re.IGNORECASE)) == 1
-    if not single or _NOT_PLAIN.search(text):
-        return text
-    found = _PLAIN_EXISTS.match(text)
-    if found:
-        return ("0 = " if found[1] else "0 < ") + _PLAIN_EXISTS.sub("(SELECT count(*) FROM", text)
-    return _PLAIN_IN.sub("IN (SELECT DISTINCT ", text)
-
+    found = subqueries.nodes(text)
+    return subqueries.replaced(text, found, [n.sql for n in found])
 
-_OUTER = re.compile(r"\{source_alias\}\s*\.\s*(?:`([^`]+)`|(\w+))")
 
+def _parts(text: str, prefix: str) -> tuple[dict[str, str], str]:
+    """Predicates of a rule that look into other tables, by column name, and the rule in terms of these columns.
 
-def outer_columns(text: str) -> list[str]:
-    """Source columns a custom SQL rule mentions, in order of appearance."""
-    return list(dict.fromkeys(quoted or plain for quoted, plain in _OUTER.findall(text)))
+    A rule that cannot be taken apart is one predicate as a whole.
+    """
+    found = subqueries.nodes(text)
+    rest = subqueries.replaced(text, found, ["true"] * len(found))
+    if not found or subqueries.has_select(rest) or not all(subqueries.outer_columns(n.verdict) for n in found):
+        return {prefix: counted_exists(text)}, prefix
+    names = [f"{prefix}_{k}" for k in range(len(found))]
+    return {name: n.verdict for name, n in zip(names, found)}, subqueries.replaced(text, found, names)
 
 
 def _looked_up(
-    out: DataFrame, rows: DataFrame, rule: Rule, name: str, catalog: str, schema: str
+    out: DataFrame, rows: DataFrame, asked: list[tuple[str, str, str]], catalog: str, schema: str
 ) -> DataFrame:
-    """Add the flag of a custom SQL rule with a subquery, safely for hot keys on either side.
+    """Add the flags of predicates (column, text, rule name) with a subquery, safely for hot keys on either side.
 
-    The rule can only depend on the source columns it mentions, so it is decided once per
-    distinct combination of them in ``rows``, and the verdicts are joined to ``out``. A key
+    A predicate can only depend on the source columns it mentions, so it is decided once per
+    distinct combination of them in ``rows``, and the verdicts are joined to ``out``. All predicates of the same
+    columns share one table of verdicts, and so one more scan of the source. A key
     that owns a third of the source is one row in the first step; in the second, its rows
     are split over tasks by adaptive execution.
     """
-    columns = outer_columns(str(rule.value))
-    text = counted_exists(fill_placeholders(str(rule.value), catalog, schema))
-    keys = [f"_key_{i}" for i in range(len(columns))]
-    verdicts = (
-        rows.select(*[col(c) for c in columns])
-        .distinct()
-        .alias(ALIAS)
-        .select(*[F.col(f"{ALIAS}.`{c}`").alias(k) for c, k in zip(columns, keys)], F.expr(text).alias(name))
-    )
-    verdicts = unique_lookup(verdicts, keys, F.max(name).alias(name))
-    same = reduce(and_, [col(c).eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
-    return out.join(verdicts, same, "left").drop(*keys)
+    groups: dict[tuple[str, ...], list[tuple[str, str, str]]] = {}
+    for item in asked:
+        groups.setdefault(tuple(sorted(subqueries.outer_columns(item[1]))), []).append(item)
+    for columns, own in groups.items():
+        keys = [f"_key_{i}" for i in range(len(columns))]
+        verdicts = rows.select(*[col(c) for c in columns]).distinct().alias(ALIAS)
+        verdicts = verdicts.select(*[col(c) for c in columns], *[col(c).alias(k) for c, k in zip(columns, keys)]).alias(ALIAS)
+        names = []
+        for name, text, rule in own:
+            try:
+                verdicts = verdicts.withColumn(name, F.expr(fill_placeholders(text, catalog, schema))).alias(ALIAS)
+            except AnalysisException as exc:
+                raise RuleError(f"rule {rule!r} cannot be applied: {exc}") from exc
+            names.append(name)
+        verdicts = unique_lookup(verdicts, keys, *[F.max(n).alias(n) for n in names])
+        same = reduce(and_, [col(c).eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
+        out = out.join(verdicts, same, "left").drop(*keys)
+    return out
 
 
 def fill_placeholders(text: str, catalog: str, schema: str) -> str:
@@ -213,19 +209,22 @@ def with_flags(
     """Add one flag column per rule and the combined ``_keep`` column."""
     rules = [Rule.of(r) for r in rules]
     out = rows
+    asked, told = [], {}
+    for i, rule in enumerate(rules):
+        text = str(rule.value)
+        if rule.type == "custom_sql" and subqueries.has_select(text) and subqueries.outer_columns(text):
+            parts, told[i] = _parts(text, f"_verdict_{i}")
+            asked += [(name, part, rule.name) for name, part in parts.items()]
+    out = _looked_up(out, rows, asked, catalog, schema)
     for i, rule in enumerate(rules):
         try:
-            if rule.type == "custom_sql" and _has_subquery(rule) and outer_columns(str(rule.value)):
-                out = _looked_up(out, rows, rule, flag_name(i), catalog, schema)
+            if i in told:
+                out = out.alias(ALIAS).withColumn(flag_name(i), F.expr(fill_placeholders(told[i], catalog, schema)))
             else:
                 out = out.alias(ALIAS).withColumn(flag_name(i), flag(rule, rows, as_of, catalog, schema))
         except AnalysisException as exc:
             raise RuleError(f"rule {rule.name!r} cannot be applied: {exc}") from exc
-    return out.withColumn(KEEP, keep_all(rules))
-
-
-def _has_subquery(rule: Rule) -> bool:
-    return re.search(r"\bSELECT\b", str(rule.value), re.IGNORECASE) is not None
+    return out.drop(*[name for name, _, _ in asked]).withColumn(KEEP, keep_all(rules))
 
 
 def keep_all(rules: Iterable[Rule]) -> Column:

@@ -17,7 +17,7 @@ STATUS_P = Rule("status_p", "same_table", "status_n", "equals", "P")
 
 
 def nullable_orders(spark, d, rules) -> Source:
-    read(spark, d, "orders", "lineitem")
+    read(spark, d, "orders", "lineitem", "customer")
     return Source("orders", spark.sql(ORDERS_N), "wm", RETENTION, rules=tuple(rules))
 
 
@@ -142,6 +142,20 @@ OPERATORS = {
 }
 
 
+# Shapes a count per key cannot say: an inequality, and several subqueries in one rule.
+OPERATORS["excl_range_sql"] = (
+    Rule("r", "custom_sql", value="EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = {source_alias}.o_orderkey "
+         "AND l.l_shipdate > {source_alias}.o_orderdate AND l.l_returnflag = 'R')"),
+    "EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = t.o_orderkey AND l.l_shipdate > t.o_orderdate AND l.l_returnflag = 'R')",
+)
+OPERATORS["excl_two_subqueries"] = (
+    Rule("r", "custom_sql", value="NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = {source_alias}.o_orderkey) "
+         "OR ({source_alias}.o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) AND {source_alias}.status_n <> 'IN (SELECT x FROM y)')"),
+    "NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = t.o_orderkey) "
+    "OR (t.o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) AND t.status_n <> 'IN (SELECT x FROM y)')",
+)
+
+
 def _register_operator(name: str, rule: Rule, predicate: str) -> None:
     flags = f"SELECT t.wm, ({predicate}) AS f FROM ({ORDERS_N}) t"
 

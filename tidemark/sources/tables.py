@@ -14,7 +14,7 @@ from ..functions import rules as R, watermarks as W
 from .snapshots import Snapshot
 
 
-_RESERVED = re.compile(r"(?i)^(slice_year|high_water|_keep|_wm|_doomed|_source_file|_hash|_h1|_h2|_n|_key_\d+|_protected_\d+)$")
+_RESERVED = re.compile(r"(?i)^(slice_year|high_water|_keep|_wm|_doomed|_source_file|_hash|_h1|_h2|_n|_key_\d+|_verdict_\d+(_\d+)?|_protected_\d+)$")
 
 
 @dataclass(frozen=True)
