@@ -193,7 +193,9 @@ def staging(proposed: DataFrame, scan_run_id: str) -> DataFrame:
     )
 
 
-def merge(existing: DataFrame, staged: DataFrame, scan_run_id: str, force: bool = False) -> DataFrame:
+def merge(
+    existing: DataFrame, staged: DataFrame, scan_run_id: str, force: bool = False, changed_at: Column | None = None
+) -> DataFrame:
     """Upsert staged rows into the config: insert new, update scanner-owned (all when forced).
 
     Rows owned by people stay as they are, and exclusion conditions always survive.
@@ -220,6 +222,8 @@ def merge(existing: DataFrame, staged: DataFrame, scan_run_id: str, force: bool
                 .when(updated, UPDATED_TEXT % scan_run_id)
                 .otherwise(F.col("old.change_reason"))
             )
+        elif name == "modified_at" and changed_at is not None:
+            value = F.when(inserted | updated, changed_at).otherwise(F.col("old.modified_at"))
         elif name == "scan_run_id":
             value = F.when(inserted | updated, scan_run_id).otherwise(F.col("old.scan_run_id"))
         else:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import config, scan
+from ..plans.scanning import ConfigStore, run_scan_job
 from ..session import workspace
 from ..sources import tables
 from .base import TABLES, query, read
@@ -173,6 +176,47 @@ def scan_summary(spark, d) -> DataFrame:
     return scan.run_scan(s.columns, s.sizes, s.existing, s.templates, RUN)["summary"]
 
 
+NAMES_SQL = ", ".join(f"'{t}'" for t in TABLES)
+
+
+@query(
+    "scan_job",
+    f"""
+    WITH c AS (SELECT table_name, column_name FROM information_schema.columns WHERE table_name IN ({NAMES_SQL})),
+    h AS (SELECT table_name, count(*) FILTER (WHERE column_name = 'ts') AS ts, count(*) FILTER (WHERE column_name LIKE '%date') AS dates,
+                 min(column_name) FILTER (WHERE column_name LIKE '%date') AS first_date FROM c GROUP BY 1)
+    SELECT table_name AS source_table, CASE WHEN ts = 1 THEN 'ts' WHEN dates = 1 THEN first_date END AS watermark_column,
+           ts = 1 OR dates = 1 AND table_name <> 'orders' AS is_active, CASE WHEN table_name = 'orders' THEN 'inactive' ELSE 'updated' END AS last_action,
+           CASE WHEN table_name = 'orders' THEN 'dropped: not found in scan s2' WHEN ts = 1 OR dates = 1 THEN NULL
+                WHEN dates > 1 THEN 'ambiguous' ELSE 'unmatched' END AS why,
+           table_name <> 'orders' AS scanned_again, TRUE AS has_size
+    FROM h
+    """,
+)
+def scan_job(spark, d) -> DataFrame:
+    """Two scans of real tables of the session's catalogue; one table is dropped between them."""
+    base = workspace(spark, "scan")
+    schema = f"scanned_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{base}/schema'")
+    for name in TABLES:
+        spark.sql(f"CREATE TABLE {schema}.{name} USING parquet LOCATION '{d}/{name}.parquet'")
+    configs_ = ConfigStore(spark, base)
+    template = scan.Template("spark_catalog", schema, ("ts", ".*date"), "/archive", 5, False, 0.0, ())
+    run_scan_job(spark, [template], configs_, "s1")
+    spark.sql(f"DROP TABLE {schema}.orders")
+    run_scan_job(spark, [template], configs_, "s2")
+    log = configs_.log().groupBy("source_table").agg(
+        F.bool_or(F.col("scan_run_id") == "s2").alias("scanned_again"), F.bool_and(F.col("table_size_gb") > 0).alias("has_size")
+    )
+    why = F.when(F.col("reason").startswith("ambiguous"), "ambiguous").when(F.col("reason").startswith("no date"), "unmatched")
+    return configs_.config().join(log, "source_table").select(
+        "source_table", "watermark_column", "is_active",
+        F.when(F.col("change_reason").startswith("marked inactive"), "inactive")
+        .when(F.col("change_reason") == "updated by scan s2", "updated").alias("last_action"),
+        F.coalesce(why, "reason").alias("why"), "scanned_again", "has_size",
+    )
+
+
 @query(
     "table_size",
     " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, TRUE AS has_size FROM {t}" for t in TABLES),

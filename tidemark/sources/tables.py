@@ -101,8 +101,8 @@ def sizes(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def file_listing(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length) of the Parquet files below a path or pattern; contents are never read.
+def file_listing(spark: SparkSession, *roots: str, names: str = "*.parquet") -> DataFrame:
+    """(path, length) of the files called like ``names`` below some paths or patterns; contents are never read.
 
     Files of this format are packed into tasks by their length. The listing is planned in a session of its own, in which
     a task may take any length, so that their number is that of the cores, whatever the files hold.
@@ -112,8 +112,8 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
     return (
         lister.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
+        .option("pathGlobFilter", names)
+        .load(list(roots))
         .select("path", "length")
     )
 
