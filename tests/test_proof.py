@@ -69,6 +69,23 @@ def test_widened_and_dropped_columns_of_the_source(spark, life, table):
     assert statuses(out) == {(2018, "ARCHIVED_AND_DELETED"): 30, (2020, "ARCHIVED_AND_DELETED"): 40}
 
 
+def test_a_reconciled_slice_is_released(spark, life, table):
+    store, audit = life
+    first = rows(0, 2018, 5) + rows(50, 2020, 5)
+    tm.archive(source(table(first, DDL, name="a")), store, audit, "r1", AS_OF)
+    failed = {"table_name": "db.t", "status": "VERIFY_FAILED", "record_count": 0}
+    audit.record("r0", [{**failed, "year": 2018}, {**failed, "year": 2020}])
+    audit.reconcile("db.t", [2020], "checked by hand")
+    more = table(first + rows(80, 2018, 2, month=9) + rows(90, 2020, 3, month=9), DDL, name="b")
+    out = tm.archive(source(more), store, audit, "r2", AS_OF)
+    assert statuses(out) == {(2018, "FAILED"): 0, (2020, "ARCHIVED"): 3}
+    out = tm.delete_archived(source(more), store, audit, "x1", AS_OF, [2018, 2020], dry_run=True)
+    assert {y["slice_year"]: y["action"] for y in out.years} == {2018: "SKIP_NOT_ELIGIBLE", 2020: "WOULD_DELETE"}
+    audit.record("r0", [{**failed, "year": 2020}])  # a failure after the reconciliation counts again
+    out = tm.delete_archived(source(more), store, audit, "x2", AS_OF, [2020], dry_run=True)
+    assert out.years[0]["reason"] == "verify_failed_present"
+
+
 def test_sums_see_what_a_plain_hash_misses(spark):
     one = spark.createDataFrame([(None, 5), (1, 1)], "a INT, b INT")
     two = spark.createDataFrame([(5, None), (1, 1)], "a INT, b INT")

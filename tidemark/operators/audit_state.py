@@ -140,12 +140,19 @@ def _probe(log, keys, fields, run_id, as_of, stale_hours) -> DataFrame:
     return aged.withColumn("is_concurrent", fresh).withColumn("is_stale", ~fresh).drop("created_at")
 
 
-def slice_summary(log: DataFrame, run_id: str | None = None) -> DataFrame:
+def slice_summary(log: DataFrame, run_id: str | None = None, reconciled: DataFrame | None = None) -> DataFrame:
     """Everything the decisions need about each slice, in one aggregation of the log.
 
-    ``owned`` says whether ``run_id`` has an ARCHIVED row for the slice.
+    ``owned`` says whether ``run_id`` has an ARCHIVED row for the slice. ``reconciled`` (table_name, year, reconciled_at)
+    takes back failures up to that time; its rows go through the same aggregation, so it costs no join.
     """
     status = F.col("status")
+    since = F.lit(None)
+    if reconciled is not None:
+        marks = reconciled.select(*SLICE, F.col("reconciled_at").cast(log.schema["created_at"].dataType).alias("_since"))
+        log = log.unionByName(marks, allowMissingColumns=True)
+        since = F.max("_since")
+    failed_at = F.max(F.when(status == "VERIFY_FAILED", F.col("created_at")))
     return (
         log.groupBy(*SLICE)
         .agg(
@@ -155,7 +162,7 @@ def slice_summary(log: DataFrame, run_id: str | None = None) -> DataFrame:
             ).alias("_ok"),
             newest([], status == "RECOVERY_ARCHIVE_DELETED").alias("_wipe"),
             newest(["archive_run_id"], status == "ARCHIVED").alias("_archived"),
-            F.bool_or(status == "VERIFY_FAILED").alias("verify_failed"),
+            F.coalesce(failed_at > since, failed_at.isNotNull()).alias("verify_failed"),
             F.bool_or((status == "ARCHIVED") & (F.col("archive_run_id") == F.lit(run_id))).alias("owned"),
         )
         .select(
@@ -177,9 +184,9 @@ def slice_summary(log: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def delete_eligibility(
-    log: DataFrame, run_id: str | None, as_of: dt.datetime, stale_hours: float = 4.0
+    log: DataFrame, run_id: str | None, as_of: dt.datetime, stale_hours: float = 4.0, reconciled: DataFrame | None = None
 ) -> DataFrame:
-    """Three checks in order: last success is ARCHIVED, nobody else runs, never VERIFY_FAILED."""
+    """Three checks in order: last success is ARCHIVED, nobody else runs, no VERIFY_FAILED since a reconciliation."""
     concurrent = concurrency_probe(log, run_id, as_of, stale_hours).select(*SLICE, "is_concurrent")
     reason = (
         F.when(F.coalesce(F.col("last_status"), F.lit("")) != "ARCHIVED", "not_archived_state")
@@ -187,7 +194,7 @@ def delete_eligibility(
         .when(F.col("verify_failed"), "verify_failed_present")
     )
     return (
-        slice_summary(log)
+        slice_summary(log, reconciled=reconciled)
         .join(concurrent, list(SLICE), "left")
         .select(*SLICE, "last_status", reason.isNull().alias("eligible"), reason.alias("reason"))
     )

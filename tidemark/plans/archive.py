@@ -44,11 +44,13 @@ def _log_of(log: DataFrame, source: Source) -> DataFrame:
     return log.where(F.col("table_name") == source.table_id)
 
 
-def known_slices(store: SliceStore, log: DataFrame, run_id: str, table_ids: list[str]) -> DataFrame:
+def known_slices(
+    store: SliceStore, log: DataFrame, run_id: str, table_ids: list[str], reconciled: DataFrame | None = None
+) -> DataFrame:
     """Slice state joined with audit state: one row per slice either of them knows."""
     states = store.states(table_ids)
     log = log.where(F.col("table_name").isin(table_ids))
-    audited = audit_state.slice_summary(log, run_id).withColumnRenamed("table_name", "table_id")
+    audited = audit_state.slice_summary(log, run_id, reconciled).withColumnRenamed("table_name", "table_id")
     return (
         states.join(audited, ["table_id", "year"], "full_outer")
         .where("year IS NOT NULL")
@@ -97,9 +99,10 @@ def plan(
     run_id: str,
     as_of: dt.date,
     live: bool = False,
+    reconciled: DataFrame | None = None,
 ) -> DataFrame:
     """What the next run would do with each eligible year of one table."""
-    known = known_slices(store, log, run_id, [source.table_id]).collect()
+    known = known_slices(store, log, run_id, [source.table_id], reconciled).collect()
     return _plan(source, store, known, as_of, live)
 
 
@@ -114,7 +117,7 @@ def dry_run_tables(
     ids = [s.table_id for s in sources]
     check_name(run_id, *ids)
     known: dict[str, list[Row]] = {i: [] for i in ids}
-    for r in known_slices(store, audit.rows(), run_id, ids).collect():
+    for r in known_slices(store, audit.rows(), run_id, ids, audit.reconciliations()).collect():
         known[r.table_id].append(r)
 
     def one(source: Source) -> tuple[DataFrame, DataFrame]:
@@ -266,7 +269,7 @@ def archive_tables(
     check_name(run_id, *ids)
     log = audit.rows()
     known: dict[str, dict[int, Row]] = {i: {} for i in ids}
-    for r in known_slices(store, log, run_id, ids).collect():
+    for r in known_slices(store, log, run_id, ids, audit.reconciliations()).collect():
         known[r.table_id][r.slice_year] = r
     jobs = [_Job(s, known[s.table_id]) for s in sources]
 
@@ -573,6 +576,7 @@ def plan_delete(
     now: dt.datetime,
     years: list[int] | None = None,
     stale_hours: float = 4.0,
+    reconciled: DataFrame | None = None,
 ) -> DataFrame:
     """Which archived years may leave the source: guard, eligibility, drift, in that order."""
     spark = store.spark
@@ -590,7 +594,7 @@ def plan_delete(
     )
     return decisions.delete_plan(
         scope,
-        audit_state.delete_eligibility(log, run_id, now, stale_hours),
+        audit_state.delete_eligibility(log, run_id, now, stale_hours, reconciled),
         audit_state.busy_tables(log, run_id, now, stale_hours),
         held,
     )
@@ -609,7 +613,9 @@ def delete_archived(
     """The delete job: remove rows of already archived years, or record what would happen."""
     out = Outcome(source.table_id)
     log = audit.rows()
-    planned = plan_delete(source, store, log, run_id, as_of, audit.clock(), years, stale_hours)
+    planned = plan_delete(
+        source, store, log, run_id, as_of, audit.clock(), years, stale_hours, audit.reconciliations()
+    )
     if dry_run:
         shown = planned.select(
             "table_id",

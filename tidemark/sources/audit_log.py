@@ -14,6 +14,9 @@ from ..session import local_frame
 from .tables import append_batch, read_or_empty
 
 
+_RECONCILED_DDL = "table_name STRING, year INT, reconciled_at TIMESTAMP, note STRING, reconciled_by STRING"
+
+
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
@@ -39,6 +42,17 @@ class AuditLog:
     def restores(self) -> DataFrame:
         return read_or_empty(self.spark, self.restore_path, RESTORE_AUDIT_DDL)
 
+    def reconcile(self, table_id: str, years: list[int], note: str, by: str | None = None) -> None:
+        """Record that somebody has looked into the slices: failures up to now no longer hold them back."""
+        if not note.strip():
+            raise ValueError("a reconciliation says what was found")
+        rows = [(table_id, int(y), self.clock(), note, by) for y in sorted(set(years))]
+        frame = local_frame(self.spark, rows, _RECONCILED_DDL)
+        append_batch(frame.withColumn("reconciled_by", F.coalesce("reconciled_by", F.current_user())).coalesce(1), f"{self.base}/audit/reconciled")
+
+    def reconciliations(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.base}/audit/reconciled", _RECONCILED_DDL)
+
     def append(self, events: DataFrame) -> None:
         """Append a DataFrame of events; absent columns become NULL, a bad status fails."""
         self._append(events, AUDIT_DDL, self.path, ARCHIVE_STATUSES)
