@@ -42,6 +42,18 @@ def test_records(frame, spark):
     assert derivatives(responses(pages.limit(0))).count() == 0
 
 
+def test_links_and_references(spark):
+    html = (
+        """<a href="/o'brien">x</a><a title=t HREF=/plain>y</a><a href='/q"z'>z</a><a data-href="/no">n</a><a href="/c&eacute;&amp;d">"""
+        "<p>stra&szlig;e &eacute;t&eacute; &amp;lt; &#38;lt; &unknown; &amp &#xZ; &lt;&gt;&notin;&hellip; AT&T; x & y;</p>"
+    )
+    df = spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string")
+    rows = {r["record_type"]: r["block"] for r in derivatives(responses(df)).collect()}
+    links = [line.removeprefix("outlink: ") for line in rows["metadata"].split("\r\n") if line.startswith("outlink: ")]
+    assert links == ["/o'brien", "/plain", '/q"z', "/cé&d"]
+    assert rows["conversion"].split("\n")[-1] == "straße été &lt; &lt; &unknown; &amp &#xZ; <>∉… AT&T; x & y;"
+
+
 def test_given_headers_are_kept(spark):
     df = spark.createDataFrame(
         [("<urn:uuid:1>", "http://x/", "2020-02-02T00:00:00Z", "HTTP/1.1 404 Not Found\r\nServer: s\r\n\r\n", "<p>hi"), ("<urn:uuid:2>", None, None, None, None)],

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 CRLF = "\r\n"
@@ -17,6 +20,7 @@ ENTITIES = {
     "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&laquo;": "«", "&raquo;": "»",
     "&euro;": "€", "&pound;": "£", "&sect;": "§", "&deg;": "°", "&times;": "×",
 }
+LONGEST = max(map(len, html5))
 NUMERIC = "&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"
 
 
@@ -39,12 +43,29 @@ def _char(m: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Numeric references and the common named ones, each decoded once."""
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({NUMERIC})"), F.lit(1)))
-    out = F.aggregate(found, text, lambda acc, m: F.replace(acc, m, _char(m)))
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """Character references decoded once, from left to right: numeric ones and every name of HTML that ends in a semicolon.
+
+    The text is cut at its ampersands; only what stands between one and the next semicolon is looked up, the names of
+    ``ENTITIES`` first.
+    """
+    known = {name[1:]: char for name, char in {**ENTITIES, "&amp;": "&"}.items()}
+    common = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    rest = {name: char for name, char in html5.items() if name.endswith(";") and name not in known}
+    rare = F.from_json(F.lit(json.dumps(rest)), "map<string,string>")  # folded to a literal by the optimizer
+
+    def decoded(part: Column, i: Column) -> Column:
+        n = F.instr(part, ";")
+        name = F.substring(part, F.lit(1), n)
+        number = F.concat(F.lit("&"), name)
+        # no name is longer, and none holds a blank; most texts between an ampersand and a semicolon fail here
+        char = F.when(n.between(3, LONGEST) & (F.instr(name, " ") == 0), F.coalesce(
+            F.element_at(common, name),
+            F.when(name.startswith("#"), F.when(number.rlike(f"^{NUMERIC}$"), _char(number))).otherwise(F.element_at(rare, name)),
+        ))
+        shown = F.coalesce(F.concat(char, F.substring(part, n + 1, F.length(part))), F.concat(F.lit("&"), part))
+        return F.when(i == 0, part).otherwise(shown)
+
+    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
 
 
 def plain_text(html: Column) -> Column:
@@ -58,8 +79,8 @@ def plain_text(html: Column) -> Column:
 
 
 def _tidy(text: Column) -> Column:
-    out = F.regexp_replace(text, "[ \\t\\r\\f\\u00A0]+", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(out, " ?\\n[ \\n]*", "\n"), "^\\n|\\n$", ""))
+    out = F.regexp_replace(text, "[ \\t\\r\\f\\u00A0]{2,}|[\\t\\r\\f\\u00A0]", " ")
+    return F.btrim(F.regexp_replace(out, " ?\\n[ \\n]*", "\n"), F.lit(" \n"))
 
 
 def title(html: Column) -> Column:
@@ -68,8 +89,14 @@ def title(html: Column) -> Column:
 
 
 def outlinks(html: Column) -> Column:
-    found = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'\r\n]*)["']"""), F.lit(1))
-    return F.transform(found, lambda x: F.replace(x, F.lit("&amp;"), F.lit("&")))
+    """Targets of anchors in order: quoted values up to the same quote, or unquoted ones, references decoded."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"\r\n]*"|'[^'\r\n]*'|[^\s"'>]+)"""), F.lit(1))
+
+    def value(x: Column) -> Column:
+        quoted = F.substring(x, 1, 1).isin('"', "'")
+        return unescape(F.when(quoted, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x))
+
+    return F.transform(found, value)
 
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:

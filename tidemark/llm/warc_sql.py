@@ -56,7 +56,8 @@ WITH src AS (
 a AS (
   SELECT page_id, url, date, payload, {_uuid('h')} AS rid, 'sha256:' || sha256(payload) AS source_digest,
          {_plain('payload')} AS bare, regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1) AS raw_title,
-         regexp_extract_all(payload, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"''\r\n]*)["'']', 1) AS links
+         [CASE WHEN x[1] IN ('"', '''') THEN x[2:-2] ELSE x END FOR x IN
+          regexp_extract_all(payload, '(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"\r\n]*"|''[^''\r\n]*''|[^\s"''>]+)', 1)] AS links
   FROM src),
 b AS (
   SELECT *, {_unescape('bare')} AS shown, {_unescape('raw_title')} AS title FROM a),
