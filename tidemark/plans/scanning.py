@@ -19,7 +19,7 @@ from ..operators import scan
 from ..schemas import TABLE_CONFIG_DDL
 from ..session import local_frame
 from ..sources.slices import check_name
-from ..sources.tables import append_batch, file_listing, read_or_empty
+from ..sources.tables import append_batch, file_listing, location, read_or_empty
 
 _POINTER_DDL = "version BIGINT, scan_run_id STRING, dir STRING, committed_at TIMESTAMP"
 _LISTED_DDL = "source_catalog STRING, source_schema STRING, source_table STRING, columns ARRAY<STRING>, location STRING"
@@ -80,10 +80,10 @@ def catalogue(spark: SparkSession, schemas: Sequence[tuple[str, str]], max_paral
         full = ".".join(f"`{part}`" for part in name if part)
         try:
             columns = [c.name for c in spark.catalog.listColumns(full)]
-            about = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").collect()
+            place = location(spark, full)
         except Exception:  # a table somebody dropped meanwhile, or one of a broken format
             return (*name, [], None)
-        return (*name, columns, about[0].data_type if about else None)
+        return (*name, columns, place)
 
     with ThreadPoolExecutor(max_parallel) as pool:
         rows = list(pool.map(inheritable_thread_target(spark)(look), names))

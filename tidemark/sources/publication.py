@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from ..session import local_frame
 from .slices import SliceStore
 from .snapshots import touched_rows
+from .tables import location
 
 
 def _sql_literal(value: str | None) -> str:
@@ -30,11 +31,6 @@ def _partitions(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _location(spark: SparkSession, name: str, spec: str = "") -> str:
-    about = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {spec}").where("col_name = 'Location'").collect()
-    return about[0].data_type  # that of the partition comes before that of its table
-
-
 def _make_directory(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(where)
@@ -56,7 +52,7 @@ def publish_source(store: SliceStore, table_id: str, name: str, run_id: str) ->
     parts = _partitions(spark, name)
     if not parts:
         snapshot.read().write.parquet(target)
-        switches = [("", _location(spark, name), target)]
+        switches = [("", location(spark, name), target)]
     else:
         columns = [F.col(f"`{p}`") for p in parts]
         hit = touched_rows(snapshot).select(*columns).distinct()
@@ -70,7 +66,7 @@ def publish_source(store: SliceStore, table_id: str, name: str, run_id: str) ->
         switches = []
         for k, values in enumerate(touched):
             spec = "PARTITION (" + ", ".join(f"`{p}` = {_sql_literal(v)}" for p, v in zip(parts, values)) + ")"
-            switches.append((spec, _location(spark, name, spec), f"{target}/_place={k}"))
+            switches.append((spec, location(spark, name, spec), f"{target}/_place={k}"))
     store.note_publication(
         [(table_id, run_id, name, spec, old, new, list(snapshot.deletes), "PREPARED") for spec, old, new in switches]
     )
@@ -116,8 +112,8 @@ def remove_replaced(store: SliceStore, before: dt.datetime, table_id: str | None
     for r in rows:
         note = notes[r.run_id, r.dir]
         if note.name not in used:
-            used[note.name] = {_location(spark, note.name)}
-        now = _location(spark, note.name, note.spec) if note.spec else _location(spark, note.name)
+            used[note.name] = {location(spark, note.name)}
+        now = location(spark, note.name, note.spec) if note.spec else location(spark, note.name)
         if _plain(r.dir) in {_plain(u) for u in (*used[note.name], now)}:
             continue
         where = spark._jvm.org.apache.hadoop.fs.Path(r.dir)

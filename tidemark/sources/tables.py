@@ -77,6 +77,13 @@ def catalog_listing(spark: SparkSession, database: str) -> DataFrame:
     return listing({n: spark.table(f"`{database}`.`{n}`") for n in names}, spark)
 
 
+def location(spark: SparkSession, name: str, spec: str = "") -> str | None:
+    """Where the catalogue says that a table, or one partition of it, stands."""
+    about = [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {spec}").collect()]
+    begin = next((i for i, (c, _) in enumerate(about) if c.startswith("# Detailed")), 0)  # columns come before
+    return next((value for c, value in about[begin:] if c == "Location"), None)  # that of the partition before its table's
+
+
 def columns_of(tables: DataFrame, columns: str = "columns") -> DataFrame:
     """One row per column from a table listing that carries an ordered array of names."""
     keys = [c for c in tables.columns if c != columns]
