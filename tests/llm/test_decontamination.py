@@ -1,9 +1,10 @@
 import random
+import time
 
 import numpy as np
 import pytest
 
-from tidemark.llm.decontamination import RATE, _Items, decontaminate, fold_text, matches, threshold
+from tidemark.llm.decontamination import Q, RATE, _find, _Items, _items, decontaminate, fold_text, matches, threshold
 
 
 def sellers(item: str, text: str) -> int:
@@ -52,7 +53,7 @@ def test_against_full_alignment(frame, spark):
     for d, text in docs:
         for i, item in bench:
             f = fold_text(item or "")
-            if len(f) >= 40 and sellers(f, fold_text(text or "")) <= int(RATE * len(f)):
+            if len(f) >= 8 and sellers(f, fold_text(text or "")) <= int(RATE * len(f)):
                 want.add((d, i))
     assert found == want and len(want) > 30
     texts = dict(docs)
@@ -78,3 +79,34 @@ def test_no_match_escapes_the_bands(seed):
         codes = np.array([ord(c) for c in text], np.uint32)
         hits = [items.verify(codes.astype(np.int64), i, d) for _, i, d in items.bands(codes, np.array([0, len(codes)]))]
         assert any(h is not None and h[0] <= edits for h in hits)
+
+
+@pytest.mark.parametrize("hits,together", [(1 << 21, 1 << 13), (500, 64)])
+def test_items_with_a_common_stem_and_short_items(monkeypatch, hits, together):
+    monkeypatch.setattr("tidemark.llm.decontamination.HITS", hits)
+    monkeypatch.setattr("tidemark.llm.decontamination.TOGETHER", together)
+    rnd = random.Random(8)
+    stem = "which of these statements best describes the"
+    bench = [(i, fold_text(f"{stem} {words(rnd, rnd.randint(2, 16))}")) for i in range(70)]
+    bench += [(200 + n, fold_text(words(rnd, 12))[:n].strip()) for n in range(8, 40, 3)]
+    bench += [(300, "ab"), (301, "x"), (302, "fig cab")]
+    texts = [" ".join(f"{stem} {words(rnd, 3)}" for _ in range(12)), "a fig cab ab. figs cabs xx", "x", "abx fig cabs", "", " -- "]
+    texts += [f"{words(rnd, 4)} {edited(rnd, t, rnd.randint(0, int(0.15 * len(t))))} {stem} {words(rnd, 4)}" for i, t in bench[::5] if i < 300]
+    got = {(row, item) for row, item, *_ in _find(_items(tuple(bench), Q, RATE), texts, Q)}
+    want = set()
+    for row, text in enumerate(map(fold_text, texts)):
+        for i, item in bench:
+            if f" {item} " in f" {text} " if len(item) < Q else sellers(item, text) <= int(RATE * len(item)):
+                want.add((row, i))
+    assert got == want and {(1, 300), (1, 302), (2, 301)} <= got and len(got) > 12
+
+
+def test_many_places_of_a_stem_take_linear_time():
+    rnd = random.Random(9)
+    stem = "which of these statements best describes the law"
+    bench = tuple((i, fold_text(f"{stem} {words(rnd, 10)}")) for i in range(1500))
+    items = _items(bench, Q, RATE)
+    text = " ".join(f"{stem} {words(rnd, 2)}" for _ in range(50))
+    begin = time.perf_counter()
+    assert [m[:2] for m in _find(items, [f"{text} {bench[7][1]}"], Q)] == [(0, 7)]
+    assert time.perf_counter() - begin < 20  # 37 s when every place was tried alone
