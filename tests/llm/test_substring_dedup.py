@@ -54,3 +54,10 @@ def test_long_text_and_empty_table(frame, spark):
     rows = [(2, long), (1, " ".join(long.split()[100_000:100_100]))]
     assert run(frame(rows, "doc_id long, text string"), 20, 6) == brute(rows, 20)
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_repeated_whole_list_their_runs_once(frame):
+    rnd = random.Random(5)
+    text = " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(200))
+    rows = [(1, text)] + [(2, text + " end")] * 150 + [(None, "x " + text)] * 150
+    assert run(frame(rows, "doc_id long, text string"), 20, 6) == brute(rows, 20)

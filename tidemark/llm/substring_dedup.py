@@ -30,9 +30,9 @@ from .arrays import combine, mix, span_hashes, text_chunks, word_hashes, words
 from .storage import keyed, written
 
 ANCHOR_WORDS = 6
-_ANCHORS = "h long, ctx long, did long, th int, run long, first boolean"
+_ANCHORS = "h long, ctx long, did long, th long, run long, first boolean"
 _PARTS = (
-    "doc_id long, did long, th int, n_words long, n_removed long, kept_sha256 string, kept string, packed binary, "
+    "doc_id long, did long, th long, n_words long, n_removed long, kept_sha256 string, kept string, packed binary, "
     "ranges array<int>, edges array<struct<w:long,c:int,pos:int,first:boolean>>"
 )
 _FINAL = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, ranges array<int>"
@@ -181,7 +181,7 @@ def _expand(k: int, with_text: bool):
 _RANGES = pa.list_(pa.int32())
 _PARTS_ARROW = pa.schema(
     [
-        ("doc_id", pa.int64()), ("did", pa.int64()), ("th", pa.int32()), ("n_words", pa.int64()),
+        ("doc_id", pa.int64()), ("did", pa.int64()), ("th", pa.int64()), ("n_words", pa.int64()),
         ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string()), ("packed", pa.binary()),
         ("ranges", _RANGES),
         ("edges", pa.list_(pa.struct([("w", pa.int64()), ("c", pa.int32()), ("pos", pa.int32()), ("first", pa.bool_())]))),
@@ -230,7 +230,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
     """
     if not 1 <= anchor_words <= k or k - anchor_words > 200:
         raise ValueError("anchor_words must be in 1..k, at most 200 words shorter")
-    texts = keyed(docs).withColumn("th", F.hash("text"))
+    texts = keyed(docs).withColumn("th", F.xxhash64("text"))
     runs = texts.select("did", "th", "text").mapInArrow(_anchors(k, anchor_words), _ANCHORS)
     # One row per anchor: a count and minima, combined before the shuffle. What repeats is little; dealing it
     # out anew leaves the join free to split a hot anchor.
@@ -248,7 +248,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         .where(F.col("branching") | ~leads)
         .select("did", "th", (F.shiftleft("run", 2) + F.when(F.col("branching"), 2).otherwise(1)).alias("run"))
         .groupBy("did", "th")
-        .agg(F.collect_list("run").alias("runs"))
+        .agg(F.collect_set("run").alias("runs"))  # rows repeated whole list theirs once
     )
     marked = written(marked, "runs")
     parts = written(
@@ -266,7 +266,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, anchor_words: int = ANCHOR_WORD
         edges.join(twice, ["w", "c"])
         .where(~F.col("first") | (F.col("did") > F.col("d0")))
         .groupBy("did", "th")
-        .agg(F.collect_list("pos").alias("gone"))
+        .agg(F.collect_set("pos").alias("gone"))
     )
     open_ = (
         parts.where("edges IS NOT NULL")
