@@ -52,3 +52,16 @@ def test_edge_cases_are_exact_when_all_is_compared(frame, spark):
     assert [v for _, v, _ in got[105]] == [100, 101, 102, 103, 104]
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nearest(empty, empty).count() == 0
+
+
+def test_very_small_and_large_components(frame):
+    ddl = "vec_id long, embedding array<double>"
+    rng = np.random.default_rng(4)
+    plain = [rng.standard_normal(6) for _ in range(40)]
+    sizes = [1e-170, 1.0, 1e200, 5e-310]
+    rows = [(i, (v * sizes[i % 4]).tolist()) for i, v in enumerate(plain)]
+    got = nearest(frame(rows, ddl), frame(rows[:8], ddl), share=1.0).collect()
+    assert len(got) == 40
+    for r in got:
+        a, b = plain[r["query_id"]], plain[r["vec_id"]]
+        assert abs(r["score"] - a @ b / (np.linalg.norm(a) * np.linalg.norm(b))) < 1e-9

@@ -71,7 +71,12 @@ def _planes(dim: int, trees: int, bits: int, seed: int) -> np.ndarray:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+    """Vectors as rows, each times the power of two that brings its largest component to 0.5 .. 1.
+
+    Cosines stay what they are, but squares of very small or large components neither vanish nor overflow.
+    """
+    v = np.array(column.to_pylist(), np.float64)
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1])
 
 
 def _search(k: int, trees: int, bits: int, share: float):
