@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .bpe import default_path, encoder
+from .storage import written
 
 BLOCK = 4096  # lengths summed by one task; sums of whole blocks are added to it
 
@@ -41,9 +42,10 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     """Per distinct length: docs and tokens at or above it, docs below, and the truncated total.
 
     truncated_tokens is what remains of the corpus if each text is cut to ``length`` ids. Sums run
-    within blocks of 4096 lengths and over the blocks' totals, so the work of a task is bounded.
+    within blocks of 4096 lengths and over the blocks' totals, so the work of a task is bounded. The
+    histogram is written first: both sums read it, and the texts behind it are encoded once.
     """
-    h = histogram.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("tokens")).withColumn(
+    h = written(histogram.select("length", "n_docs"), "lengths").select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("tokens")).withColumn(
         "block", F.floor(F.col("length") / BLOCK)
     )
     down = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
