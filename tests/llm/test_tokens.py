@@ -77,6 +77,22 @@ def test_plan_holds_every_capacity(rule):
         assert runs["bins"] <= max(1.15 * least, -(-sum(histogram.values()) // 7) + 1)
 
 
+def test_attention_binds(frame):
+    cap = Capacity(tokens=64, documents=50, attention=900)
+    rows = pack(frame(ROWS, "doc_id long, text string"), cap, with_ids=True).collect()
+    bins, whole = defaultdict(list), defaultdict(int)
+    for r in rows:
+        bins[r["sequence_id"]].append(r["length"])
+        whole[r["doc_id"]] += r["length"]
+    assert max(map(max, bins.values())) == cap.longest == 30
+    assert all(sum(x * x for x in own) <= 900 and sum(own) <= 64 for own in bins.values())
+    assert any(sum(own) + 1 <= 64 and sum(x * x for x in own) + 1 > 900 for own in bins.values())
+    want = defaultdict(int)
+    for d, t in ROWS:
+        want[d] += len(ids_of(t)) + 1
+    assert whole == want
+
+
 def test_packing_of_an_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -100,6 +116,8 @@ def test_length_histogram_and_answers(frame, spark):
     for r in quantiles(table, [0.0, 0.5, 0.9, 1.0]).collect():
         assert r["length"] == next(x for i, x in enumerate(lengths) if i + 1 >= r["share"] * len(lengths))
     assert suffix_sums(length_histogram(df.limit(0))).count() == 0
+    plan = suffix_sums(length_histogram(df))._jdf.queryExecution().executedPlan().toString()
+    assert "InArrow" not in plan  # texts are encoded once, before
 
 
 def test_suffix_sums_across_blocks(spark):

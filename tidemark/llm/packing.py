@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from dataclasses import dataclass
 
@@ -18,15 +19,24 @@ _SHARE = 50_000  # pieces ranked by one task
 
 @dataclass(frozen=True)
 class Capacity:
-    """What one sequence holds: tokens, documents and attention cost (sum of squared lengths)."""
+    """What one sequence holds: tokens, documents and attention cost (sum of squared lengths).
+
+    An attention capacity under tokens squared binds: pieces are no longer than its root, so each fits
+    alone, and a sequence may be full of attention before it is full of tokens.
+    """
 
     tokens: int = 2048
     documents: int = 2048
     attention: int = 2048 * 2048
 
     def __post_init__(self):
-        if min(self.tokens, self.documents) < 1 or self.attention < self.tokens**2:
-            raise ValueError("a sequence must hold a full piece")
+        if min(self.tokens, self.documents, self.attention) < 1:
+            raise ValueError("a sequence must hold a piece")
+
+    @property
+    def longest(self) -> int:
+        """Tokens of the longest piece that fits alone."""
+        return min(self.tokens, math.isqrt(self.attention))
 
 
 def _cut(path: str, longest: int, end_id: int, with_ids: bool):
@@ -148,7 +158,7 @@ def plan(histogram: dict[int, int], capacity: Capacity, weights=(1.0, 1.0, 1.0),
                 rank += n
                 left -= n
             after = tuple(a - b for a, b in zip(state, need))
-            if after[0] > 0 and after[1] > 0:
+            if min(after) > 0:
                 bins.add(after, got)
     return {k: np.array(v, np.int64) for k, v in runs.items()} | {"bins": total}
 
@@ -187,10 +197,10 @@ def pack(
     null id is returned as null; repeated rows are packed each.
 
     The pieces are written once. Spark counts them by length; the driver sees that histogram
-    (at most ``capacity.tokens`` rows) and plans runs. A piece's rank within its length comes from
+    (at most ``capacity.longest`` rows) and plans runs. A piece's rank within its length comes from
     ranks within (length, share) and the shares' counts, so a common length is dealt over tasks.
     """
-    table = written(pieces(docs, capacity.tokens, tokenizer, end_id, with_ids), "pieces")
+    table = written(pieces(docs, capacity.longest, tokenizer, end_id, with_ids), "pieces")
     total = table.count()
     shares = max(1, -(-total // _SHARE))
     dealt = table.withColumn("share", F.pmod(F.xxhash64("did", "piece", "ids_crc32"), F.lit(shares)).cast("int"))
