@@ -31,7 +31,6 @@ from .storage import written
 PREFIX = 4
 DISCOUNT = 0.75
 EXCESS = 3.0
-WORD_BITS, PREFIX_BITS = 21, 18
 MAX_LABELLED = 100_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 
@@ -43,30 +42,32 @@ def fold() -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """Hashed tables of fixed size: a slot holds its heaviest entry and 16 bits to know it by."""
+    """Tables of all words and prefixes of the labelled sample: sorted hashes and their values."""
 
-    word_check: np.ndarray
+    words: np.ndarray
     word_value: np.ndarray  # toxic minus ordinary log-likelihood of the word
-    prefix_check: np.ndarray
+    prefixes: np.ndarray
     prefix_value: np.ndarray  # the same for an unseen word with this prefix
     unseen: float
     curve: tuple[float, ...]  # logistic weights of the three measures, then the constant
 
     def evidence(self, word: np.ndarray, head: np.ndarray) -> np.ndarray:
-        slot, check = _slot(word, WORD_BITS)
-        hit = self.word_check[slot] == check
-        slot2, check2 = _slot(head, PREFIX_BITS)
-        known = self.prefix_check[slot2] == check2
-        return np.where(hit, self.word_value[slot], np.where(known, self.prefix_value[slot2], np.float32(self.unseen)))
+        word, at, back = np.unique(word, return_index=True, return_inverse=True)
+        head, of = np.unique(head[at], return_inverse=True)
+        stem = _looked_up(self.prefixes, self.prefix_value, head, np.float32(self.unseen))
+        return _looked_up(self.words, self.word_value, word, stem[of])[back]
 
     def score(self, measures: np.ndarray) -> np.ndarray:
         z = measures @ np.array(self.curve[:3]) + self.curve[3]
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _slot(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot number, and 1 + 15 other bits (0 marks an empty slot)."""
-    return (h >> np.uint64(64 - bits)).astype(np.int64), (1 + (h & np.uint64(0x7FFF))).astype(np.uint16)
+def _looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, other) -> np.ndarray:
+    """The value of each asked key, ``other`` where the sorted keys do not hold it."""
+    if not len(keys):
+        return np.broadcast_to(other, asked.shape)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], other)
 
 
 def _counts(labelled: bool):
@@ -144,7 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
 
     Class counts come from at most ``max_labelled`` labelled rows (those whose id hash is least),
     so that their ids fit in a broadcast; counts of the shared distribution come from every text.
-    The tables have a fixed number of slots. Several labels of one id: the largest counts.
+    The tables hold every word of these labelled texts (12 bytes each; about a million words for
+    100,000 texts of the given kind). Several labels of one id: the largest counts.
     """
     spark = docs.sparkSession
     y = (
@@ -195,43 +197,29 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     new = 1 / (F.col("types") + 1)
     unseen = math.log(t_t / n_t) - math.log(t_o / n_o)
     prefixes = heads.select(
-        F.col("p").alias("h"), (F.col("head") + _log_ratio((F.lit(0), F.lit(0)), inside, new)).alias("value"),
-        (F.col("pt") + F.col("po")).alias("n"),
+        F.col("p").alias("h"), (F.col("head") + _log_ratio((F.lit(0), F.lit(0)), inside, new)).alias("value")
     )
     seen = known.join(heads, "p").select(
-        F.col("w").alias("h"), (F.col("head") + _log_ratio((F.col("t"), F.col("o")), inside, new)).alias("value"),
-        (F.col("t") + F.col("o")).alias("n"),
+        F.col("w").alias("h"), (F.col("head") + _log_ratio((F.col("t"), F.col("o")), inside, new)).alias("value")
     )
-    wc, wv = _table(seen, WORD_BITS)
-    pc, pv = _table(prefixes, PREFIX_BITS)
-    model = Model(wc, wv, pc, pv, unseen, (0.0, 1.0, 0.0, 0.0))
+    tables = (*_table(seen), *_table(prefixes), unseen)
+    model = Model(*tables, (0.0, 1.0, 0.0, 0.0))
     rows = apply(calibration, model, "toxic").select("toxic", "per_word", "top", "excess").toPandas()
     curve = _logistic(rows[["per_word", "top", "excess"]].to_numpy(float), rows["toxic"].to_numpy(float))
-    return Model(wc, wv, pc, pv, unseen, curve)
+    return Model(*tables, curve)
 
 
 def _empty(curve) -> Model:
-    return Model(
-        np.zeros(1 << WORD_BITS, np.uint16), np.zeros(1 << WORD_BITS, np.float32),
-        np.zeros(1 << PREFIX_BITS, np.uint16), np.zeros(1 << PREFIX_BITS, np.float32), 0.0, curve,
-    )
+    keys, values = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    return Model(keys, values, keys, values, 0.0, curve)
 
 
-def _table(entries: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most one entry per slot, that of the largest count; so at most 2 ** bits rows are fetched."""
-    slot = F.shiftrightunsigned("h", 64 - bits)
-    weight = F.col("n") * F.abs("value")
-    best = entries.groupBy(slot.alias("slot")).agg(F.max(weight).alias("best"))
-    rows = (
-        entries.withColumn("slot", slot).join(best, "slot").where(weight == F.col("best"))
-        .groupBy("slot").agg(F.max(F.struct("h", "value")).alias("e"))
-        .select("slot", F.col("e.h").alias("h"), F.col("e.value").cast("float").alias("value"))
-        .toArrow()
-    )
-    check, value = np.zeros(1 << bits, np.uint16), np.zeros(1 << bits, np.float32)
-    at, own = _slot(rows.column("h").to_numpy().view(np.uint64), bits)
-    check[at], value[at] = own, rows.column("value").to_numpy()
-    return check, value
+def _table(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and values of all entries; these come from the labelled sample only."""
+    rows = entries.select("h", F.col("value").cast("float").alias("value")).toArrow()
+    h = rows.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return h[order], rows.column("value").to_numpy()[order]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -255,7 +243,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 def apply(docs: DataFrame, model: Model, *keep: str, with_text: bool = False) -> DataFrame:
     """doc_id, ``keep``, (text,) score (0 to 1) and the three measures of each row's whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: about 14 MB
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the labelled sample: see fit
     kinds = dict(docs.dtypes)
     schema = ", ".join(["doc_id long", *(f"{k} {kinds[k]}" for k in keep), *(["text string"] if with_text else [])])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, F.col("text").cast("string").alias("text")).mapInArrow(
