@@ -23,6 +23,7 @@ def test_candidates_are_where_the_pattern_is(frame):
     pool = ["abc1", "é", " ", "\n", "Zz9_/+", "====", "12345678901234", "password=", '"', "ab.cd-ef~1", "漢字"]
     rows = [(i, "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 400)))) for i in range(40)]
     rows += [(100, None), (101, ""), (102, "x1234567890abc " * 3000)]
+    rows += [(200 + i, f"{t}{secrets.MARK}{t}") for i, t in rows[:10]]  # texts that hold the mark
     found = secrets.candidates(frame(rows, "doc_id long, text string"), "doc_id").select("doc_id", "_cands").collect()
     texts = dict(rows)
     for r in found:
@@ -86,6 +87,7 @@ def test_secrets_at_sentence_ends_in_paths_and_of_any_signs(frame):
         (f"the key is {key}.", key), (f"see /srv/keys/{key} there", key), (f"token = {value}.", value), (f"auth: {jwt}, ok", jwt),
         ("secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY1 x", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY1"),
         ("password=hunter2024, then", "hunter2024"), ("the password is tr0ub4dor&3x! or", "tr0ub4dor&3x!"),
+        ('passphrase = "' + "four score, 7 and " * 20 + 'end!" then', "four score, 7 and " * 20 + "end!"),
         ('pwd = "blue horse, 9 staples" end', "blue horse, 9 staples"), ("/login?token=ab12cd34ef56&user=bob9 x", "ab12cd34ef56"),
     ]
     for text, value in cases:

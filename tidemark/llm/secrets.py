@@ -20,10 +20,15 @@ PROVIDER = (
 )
 
 
+ENCLOSED = 128  # signs of a value with blanks that ends with the string around it
+
+
 def _assigned() -> str:
     """Values of 8 or more signs of any kind behind the name of a credential.
 
-    Lookbehinds of one width each: only these mean the same in every regular expression engine.
+    Lookbehinds of one width each: only these mean the same in every regular expression engine. A quoted value
+    reaches to the closing quote, however far; these scans do not overlap, so a text is read in linear time. A value
+    without an opening quote may hold blanks if a quote follows within ENCLOSED signs, else it ends at a blank.
     """
     names = {n: len(n) for n in "password passwords passwd passphrase pwd secret secrets token apikey accesskey privatekey secretkey auth credential credentials".split()}
     names |= {f"{n}[ _-]key": len(n) + 4 for n in ("api", "access", "private", "secret")}
@@ -37,7 +42,7 @@ def _assigned() -> str:
         "(?<=" + "|".join(f"(?i:{'|'.join(own)}){sep}" for sep, own in found.items()) + ")" for _, found in sorted(by_width.items())
     )
     sign, stop = r"[^ \t\n\r\f\x0b\"'<>]", r"[.,;:?)\]}]*(?![^ \t\n\r\f\x0b\"'<>])"
-    return rf"(?:(?<=[:=])|(?<=[:=][ \"'])|(?<=[:=] [\"'])|(?<= is )|(?<= is [\"']))(?:{behind})(?:[^\"'\n]{{8,128}}(?=[\"'])(?<=[^ ])|{sign}{{8,}}?(?=[,;&][A-Za-z_]+[=:]|{stop}))"
+    return rf"(?:(?<=[:=])|(?<=[:=][ \"'])|(?<=[:=] [\"'])|(?<= is )|(?<= is [\"']))(?:{behind})(?:(?<=[\"'])[^\"'\n]{{8,}}+(?=[\"'])(?<=[^ ])|[^\"'\n]{{8,{ENCLOSED}}}(?=[\"'])(?<=[^ ])|{sign}{{8,}}?(?=[,;&][A-Za-z_]+[=:]|{stop}))"
 
 
 # A provider's key wherever it stands in a run; an assigned value; a run of token characters without a key in it.
@@ -47,6 +52,7 @@ CANDIDATE = (
     rf"(?![A-Za-z0-9+/_.~-]*{PROVIDER})[A-Za-z0-9+/_.~-]{{11,}}[A-Za-z0-9+/_~]"
 )
 CONTEXT = 48
+MARK = "\ue000"  # set around candidates when a text is taken apart
 MASK = "[SECRET]"
 MAX_FINDINGS = 20_000  # labelled findings that train the forest
 LEAST_ROWS = 64  # of each label that a tree samples from
@@ -100,10 +106,14 @@ def _features(v: Column, left: Column, right: Column) -> list[Column]:
 def candidates(docs: DataFrame, *keep: str) -> DataFrame:
     """``keep`` and _text, _found, _parts, _cands: an array of start, end, value, left, right and features."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(*keep, text.alias("_text")).select(
-        "*",
-        F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0)).alias("_found"),
-        F.split("_text", CANDIDATE, -1).alias("_parts"),
+    # One search per text: candidates are marked in place, then split off. Texts that hold the mark take two.
+    pieces = F.when(F.instr("_text", MARK) == 0, F.split(F.regexp_replace("_text", CANDIDATE, f"{MARK}$0{MARK}"), MARK, -1))
+    rows = docs.select(*keep, text.alias("_text")).select("*", pieces.alias("_pieces"))
+    each = lambda odd: F.filter("_pieces", lambda _, i: i % 2 == odd)
+    rows = rows.select(
+        *keep, "_text",
+        F.when(F.col("_pieces").isNull(), F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0))).otherwise(each(1)).alias("_found"),
+        F.when(F.col("_pieces").isNull(), F.split("_text", CANDIDATE, -1)).otherwise(each(0)).alias("_parts"),
     )
     # Prefix sums of lengths in two levels, so that a text with n candidates costs far less than n * n.
     total = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
