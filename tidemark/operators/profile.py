@@ -11,10 +11,11 @@ import datetime as dt
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import rules as R, watermarks as W
-from ..sources.tables import Source
+from ..session import local_frame
+from ..sources.tables import Source, qualified
 
 
 def eligible_years(source: Source, as_of: dt.date) -> DataFrame:
@@ -27,6 +28,38 @@ def eligible_years(source: Source, as_of: dt.date) -> DataFrame:
     )
 
 
+def eligible_years_of(sources: list[Source], as_of: dt.date) -> DataFrame:
+    """``eligible_years`` of many tables that stand in Parquet files under the same watermark column, by one scan.
+
+    Each file gives one row per year; which tables it belongs to is found from the folders above it, so the plan
+    does not grow with the number of tables. The boundary pushed is the latest of the tables'; each table's own comes after.
+    """
+    spark, first = sources[0].rows.sparkSession, sources[0]
+    known = local_frame(
+        spark,
+        [(qualified(spark, s.location), s.table_id, s.last_eligible_year(as_of)) for s in sources],
+        "_folder STRING, table_id STRING, last_eligible_year INT",
+    )
+    dtype = W.type_of(first.rows, first.watermark)
+    shape = T.StructType([T.StructField(first.watermark, dtype)])
+    places = sorted({s.location for s in sources})
+    rows = spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(*places)
+    latest = max(s.last_eligible_year(as_of) for s in sources)
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
+    per_file = (
+        rows.where(first.in_years(None, latest)).select(file.alias("_file"), first.year().alias("slice_year")).distinct()
+    )
+    parts = F.split("_file", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    return (
+        per_file.select("slice_year", F.explode(above).alias("_folder"))
+        .join(known, "_folder")
+        .where("slice_year <= last_eligible_year")
+        .select("table_id", "slice_year", "last_eligible_year")
+        .distinct()
+    )
+
+
 def _scope(source: Source, as_of: dt.date, eligible_only: bool, years: list[int] | None) -> DataFrame:
     if years is not None:
         runs = [source.in_years(a, b) for a, b in W.year_runs(int(y) for y in years)]

@@ -674,13 +674,20 @@ def delete_archived(
 
 
 def work_plan(sources: list[Source], as_of: dt.date, years: list[int] | None = None) -> DataFrame:
-    """(table_id, slice_year, last_eligible_year) of every slice the job would touch."""
-    parts = []
+    """(table_id, slice_year, last_eligible_year) of every slice the job would touch.
+
+    Tables that name their Parquet ``location`` share one scan per watermark column, type and time zone; any other
+    table is a scan of its own.
+    """
+    parts, shared = [], {}
     for s in sources:
-        found = profile.eligible_years(s, as_of).withColumn(
-            "last_eligible_year", F.lit(s.last_eligible_year(as_of))
-        )
-        parts.append(found)
+        if s.whole_location() is None:
+            parts.append(
+                profile.eligible_years(s, as_of).withColumn("last_eligible_year", F.lit(s.last_eligible_year(as_of)))
+            )
+        else:
+            shared.setdefault((s.watermark, W.type_of(s.rows, s.watermark), s.timezone), []).append(s)
+    parts += [profile.eligible_years_of(group, as_of) for group in shared.values()]
     plan_rows = reduce(DataFrame.unionByName, parts)
     if years is not None:
         plan_rows = plan_rows.where(F.col("slice_year").isin([int(y) for y in years]))

@@ -16,18 +16,19 @@ from ..functions.rules import Rule
 from ..operators import config as C
 from ..sources.audit_log import AuditLog
 from ..sources.slices import SliceStore
-from ..sources.tables import Source
+from ..sources.tables import Source, parquet_location
 from .archive import Outcome, archive_tables, delete_archived, dry_run_tables
 
 
 def from_catalog(spark: SparkSession) -> Callable[[Row], DataFrame]:
     """Source rows by full name, in any format Spark reads by name; partition columns included."""
 
-    def read(row: Row) -> DataFrame:
-        parts = [row.source_catalog, row.source_schema, row.source_table]
-        return spark.table(".".join(f"`{p}`" for p in parts if p))
+    return lambda row: spark.table(_full_name(row))
 
-    return read
+
+def _full_name(row: Row) -> str:
+    parts = [row.source_catalog, row.source_schema, row.source_table]
+    return ".".join(f"`{p}`" for p in parts if p)
 
 
 def sources(
@@ -53,6 +54,7 @@ def sources(
     rows = C.effective(chosen, default_retention_years, default_timezone).collect()
     if not rows and any(v is not None for v in filters.values()):
         raise C.ConfigError(f"no active table matches {filters}")
+    by_name = read is None
     read = read or from_catalog(spark)
 
     def source(r: Row) -> Source:
@@ -69,6 +71,7 @@ def sources(
             catalog=r.source_catalog,
             schema=r.source_schema,
             snapshot=snapshot,
+            location=parquet_location(spark, _full_name(r), r.watermark_column) if by_name else None,
         )
 
     return [source(r) for r in rows]

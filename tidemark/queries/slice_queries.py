@@ -576,7 +576,15 @@ def late_arrivals(spark, d) -> DataFrame:
 )
 def work_plan(spark, d) -> DataFrame:
     orders, lineitem, events = read(spark, d, "orders", "lineitem", "events")
-    return plan_work([orders_source(orders), lineitem_source(lineitem), events_source(events)], AS_OF)
+    at = lambda name: f"{d}/{name}.parquet"
+    return plan_work(
+        [
+            orders_source(orders, location=at("orders")),
+            lineitem_source(lineitem, location=at("lineitem")),
+            events_source(events, location=at("events")),
+        ],
+        AS_OF,
+    )
 
 
 @query(

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Adaptive execution sizes shuffles, splits hot join keys and hot years at run time.
@@ -48,6 +48,21 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
+def footer_reader(spark: SparkSession) -> DataFrameReader:
+    """A reader whose COUNT, MIN and MAX per partition directory come from Parquet footers; no row is decoded.
+
+    Spark does this only for exactly all partition columns as grouping columns and without other filters, and it takes
+    the footer's MIN or MAX *by position*: the schema must name all columns of the files in their own order, none of
+    them nested. COUNT needs no columns at all.
+    """
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        reader.conf.set(name, spark.conf.get(name))
+    return reader.read
+
+
 def local_frame(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
     """A few driver rows (tuples in schema order) as a local relation, which costs no job."""
     if isinstance(schema, str):

@@ -14,11 +14,12 @@ import datetime as dt
 import re
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from ..functions import digest, evolution, watermarks as W
 from ..schemas import MANIFEST_DDL, ddl
-from ..session import local_frame
+from ..session import footer_reader, local_frame
 from .snapshots import Snapshot
 from .tables import append_batch, file_listing, found, read_or_empty
 
@@ -112,8 +113,12 @@ class SliceStore:
     def written(self, path: str, schema: T.StructType, watermark: str, content: bool = False) -> DataFrame:
         """Per-year count and watermark window of what a run really wrote; ``content`` adds the content sums.
 
-        Without ``content`` only the watermark column is read back.
+        Without ``content`` the answer comes from the footers where these can give it, else from the watermark column.
         """
+        if not content:
+            found = self._window_of_footers(path, watermark)
+            if found is not None:
+                return found
         rows = self.spark.read.schema(_with_year(schema)).parquet(path)
         watermark = W.instant(rows, watermark)
         sums = digest.content_sums(rows, schema.names) if content else ()
@@ -124,6 +129,36 @@ class SliceStore:
             *[s.alias(name) for s, name in zip(sums, ("sum_a", "sum_b"))],
         )
 
+    def _window_of_footers(self, path: str, watermark: str) -> DataFrame | None:
+        """``written`` by aggregates pushed into the reader; None if the files' columns do not allow it.
+
+        The files of a run come from one write, so the first footer names the columns of all. TIMESTAMP_NTZ is stored
+        as microseconds; its extremes are pushed as integers.
+        """
+        try:
+            stored = self.spark.read.parquet(path).schema
+        except AnalysisException:  # the run wrote no file
+            return None
+        files = T.StructType([f for f in stored if f.name != "slice_year"])
+        if watermark not in files.names or any(isinstance(f.dataType, _NESTED) for f in files):
+            return None
+        dtype = files[watermark].dataType
+        if isinstance(dtype, T.TimestampNTZType):
+            files = T.StructType([T.StructField(f.name, T.LongType()) if f.name == watermark else f for f in files])
+            instant = "timestampadd(MICROSECOND, {}, TIMESTAMP_NTZ '1970-01-01 00:00:00')"
+        elif isinstance(dtype, T.DateType):
+            instant = "CAST({} AS TIMESTAMP_NTZ)"
+        else:
+            return None
+        rows = footer_reader(self.spark).schema(_with_year(files)).parquet(path)
+        wm = W.col(watermark)
+        found = rows.groupBy("slice_year").agg(
+            F.count("*").alias("row_count"), F.min(wm).alias("_lo"), F.max(wm).alias("_hi")
+        )
+        return found.select(
+            "slice_year", "row_count", *[F.expr(instant.format(c)).alias(n) for c, n in (("_lo", "wm_lo"), ("_hi", "wm_hi"))]
+        )
+
     def read(
         self, table_id: str, years: list[int] | None = None, version: int | None = None
     ) -> DataFrame:
@@ -158,9 +193,19 @@ class SliceStore:
         )
 
     def counts(self, table_id: str, years: list[int] | None = None) -> DataFrame:
-        return self.read(table_id, years).groupBy("slice_year").agg(
-            F.count(F.lit(1)).alias("row_count")
-        )
+        """Rows per slice as the footers of its live files say; files may differ in their columns."""
+        wanted = self.latest().where(F.col("table_id") == table_id)
+        if years is not None:
+            wanted = wanted.where(F.col("year").isin([int(y) for y in years]))
+        found = wanted.select("schema_ddl", "live_dirs").collect()
+        if not any(r.schema_ddl for r in found):
+            raise LookupError(f"no slice of {table_id} for years {years}")
+        dirs = [d for r in found for d in r.live_dirs]
+        if not dirs:
+            return self.spark.createDataFrame([], "slice_year INT, row_count BIGINT")
+        rows = footer_reader(self.spark).schema("slice_year INT").option("basePath", self.table_dir(table_id)).parquet(*dirs)
+        per_run = rows.groupBy("run", "slice_year").agg(F.count("*").alias("n"))  # all partition columns: pushed
+        return per_run.groupBy("slice_year").agg(F.sum("n").alias("row_count"))
 
     def high_water(self, table_id: str, watermark: str) -> DataFrame:
         """Highest archived watermark per slice, at full precision."""
@@ -355,6 +400,9 @@ class SliceStore:
         )
 
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
 def _with_year(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("slice_year", T.IntegerType())])
 

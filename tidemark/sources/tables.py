@@ -35,6 +35,7 @@ class Source:
     catalog: str = ""
     schema: str = ""
     snapshot: Snapshot | None = None  # where ``rows`` come from, if deletes have been published
+    location: str | None = None  # of the Parquet files, if ``rows`` are all of theirs and the watermark is in the files
     rule_list: tuple[R.Rule, ...] = field(init=False)
 
     def __post_init__(self):
@@ -46,6 +47,13 @@ class Source:
     def last_eligible_year(self, as_of: dt.date) -> int:
         return as_of.year - self.retention_years
 
+    def whole_location(self) -> str | None:
+        """``location``, if ``rows`` are nothing but a read of it."""
+        deleted = self.snapshot is not None and self.snapshot.deletes
+        if self.location is None or deleted or self.rows._jdf.queryExecution().optimizedPlan().children().nonEmpty():
+            return None
+        return self.location
+
     def year(self) -> Column:
         return W.year_of(self.rows, self.watermark, self.timezone)
 
@@ -84,6 +92,25 @@ def location(spark: SparkSession, name: str, spec: str = "") -> str | None:
     return next((value for c, value in about[begin:] if c == "Location"), None)  # that of the partition before its table's
 
 
+def parquet_location(spark: SparkSession, name: str, watermark: str) -> str | None:
+    """Where a table of the catalogue stands, if it is Parquet and its watermark is a column of the files."""
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    columns = spark.catalog.listColumns(name)
+    in_files = any(c.name == watermark and not c.isPartition for c in columns)
+    return location(spark, name) if in_files and (about.get("Provider") or "").lower() == "parquet" else None
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and authority, spelled as ``_metadata.file_path`` spells the files below it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return plain_scheme(fs.makeQualified(where).toUri().toString())
+
+
+def plain_scheme(path: str) -> str:
+    return re.sub(r"^file:/+", "file:/", path)
+
+
 def columns_of(tables: DataFrame, columns: str = "columns") -> DataFrame:
     """One row per column from a table listing that carries an ordered array of names."""
     keys = [c for c in tables.columns if c != columns]
