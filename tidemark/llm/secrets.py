@@ -64,7 +64,7 @@ DICTIONARY = (
     "image index info les license local mail main name net news online open org page path post public que que sample "
     "server site source test text that the true und user version web with work world www"
 ).split()
-CREDENTIAL = r"(?:passw(?:or)?d|passwd|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth|bearer|credential)"
+CREDENTIAL = r"(?:passw(?:or)?d|passwd|passphrase|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth|bearer|credential)"
 HARMLESS = r"(?:commit|sha-?\d*|md5|checksum|digest|hash|uuid|isbn|doi|version|phone|tel|card|order|https?|www)"
 ASSIGNED = rf"(?i){CREDENTIAL}[A-Za-z_]{{0,16}}[\"']?\s*(?:[:=]|is)\s*[\"']?$"
 PLACE = r"^(?:[$%{(\[*]|(?:[A-Za-z]+:)?//|[.~]{1,2}/|/[a-z]+/[a-z])"  # a placeholder, an address or a path
